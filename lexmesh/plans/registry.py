@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lexmesh.plans import explore, integrity, problems
+from lexmesh.plans import algebra, explore, integrity, problems
 
-MODULES = (problems, explore, integrity)
+MODULES = (problems, explore, integrity, algebra)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: text for m in MODULES for name, text in m.SQL.items()}
