@@ -24,9 +24,9 @@ def fold_diacritics(texts: pd.Series) -> pd.Series:
 
 
 def fold_plain(text: Column | str) -> Column:
-    """The same fold for plain text inside the JVM: lower case, runs of white space to one blank."""
+    """The same fold for plain text inside the JVM: lower case (one small sigma, as case folding has), runs of white space to one blank."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
+    return F.replace(F.lower(F.trim(F.regexp_replace(text, r"\s+", " "))), F.lit("ς"), F.lit("σ"))
 
 
 def word_tokens(folded: Column | str) -> Column:

@@ -15,10 +15,10 @@ B = Book()
 # ---- set and multiset algebra -------------------------------------------------
 
 def _claims(a: Atlas, r: str):
-    return a.labels.filter(F.col("release").contains(r)).select("label_role", F.lower("value").alias("value"), "language")
+    return a.labels.filter(F.col("release").contains(r)).select("label_role", "value", "language")
 
 
-_L, _R = ("SELECT label_role, lower(value) AS value, language FROM atlas_labels WHERE release LIKE '%" + r + "%'" for r in ("tidewatch", "lodestar"))
+_L, _R = ("SELECT label_role, value, language FROM atlas_labels WHERE release LIKE '%" + r + "%'" for r in ("tidewatch", "lodestar"))
 _COUNTED = f"l AS (SELECT *, count(*) AS n FROM ({_L}) GROUP BY ALL), r AS (SELECT *, count(*) AS n FROM ({_R}) GROUP BY ALL), b AS (SELECT label_role, value, language, coalesce(l.n, 0) AS a, coalesce(r.n, 0) AS c FROM l FULL JOIN r USING (label_role, value, language))"
 B.add("st2_multiset_diff", f"WITH {_COUNTED} SELECT label_role, value, language, 'exact' AS side, least(a, c) AS n FROM b WHERE least(a, c) > 0 UNION ALL SELECT label_role, value, language, 'missing', a - c FROM b WHERE a > c UNION ALL SELECT label_role, value, language, 'added', c - a FROM b WHERE c > a")(
     lambda a: M.multiset_diff(_claims(a, "tidewatch"), _claims(a, "lodestar"))

@@ -140,15 +140,15 @@ def _numbered(a: Atlas):
     return with_rank(a.resources.select("scheme").distinct(), ["scheme"], "_n").select("scheme", (F.col("_n") + 1).alias("n"))
 
 
-B.add("jn29_label_policy", "WITH o AS (SELECT value, min(resource) AS r FROM atlas_labels WHERE label_role = 'preferred' GROUP BY 1), v AS (SELECT lower(value) AS value, min(resource) AS r, count(DISTINCT resource) AS n FROM atlas_labels WHERE label_role <> 'preferred' GROUP BY 1), q AS (SELECT DISTINCT value FROM atlas_labels) SELECT q.value, CASE WHEN o.r IS NOT NULL THEN 'official' WHEN v.n = 1 THEN 'variant' WHEN v.n > 1 THEN 'open' ELSE 'unresolved' END AS outcome, CASE WHEN o.r IS NOT NULL THEN o.r WHEN v.n = 1 THEN v.r END AS target FROM q LEFT JOIN o USING (value) LEFT JOIN v ON v.value = lower(q.value)")(
+B.add("jn29_label_policy", "WITH o AS (SELECT value, min(resource) AS r FROM atlas_labels WHERE label_role = 'preferred' GROUP BY 1), v AS (SELECT replace(lower(value), 'ς', 'σ') AS value, min(resource) AS r, count(DISTINCT resource) AS n FROM atlas_labels WHERE label_role <> 'preferred' GROUP BY 1), q AS (SELECT DISTINCT value FROM atlas_labels) SELECT q.value, CASE WHEN o.r IS NOT NULL THEN 'official' WHEN v.n = 1 THEN 'variant' WHEN v.n > 1 THEN 'open' ELSE 'unresolved' END AS outcome, CASE WHEN o.r IS NOT NULL THEN o.r WHEN v.n = 1 THEN v.r END AS target FROM q LEFT JOIN o USING (value) LEFT JOIN v ON v.value = replace(lower(q.value), 'ς', 'σ')")(
     lambda a: _policy(a)
 )
 
 
 def _policy(a: Atlas):
     o = a.labels.filter("label_role = 'preferred'").groupBy("value").agg(F.min("resource").alias("o"))
-    v = a.labels.filter("label_role <> 'preferred'").groupBy(F.lower("value").alias("_k")).agg(F.min("resource").alias("v"), F.count_distinct("resource").alias("n"))
-    both = a.labels.select("value").distinct().join(o, "value", "left").withColumn("_k", F.lower("value")).join(v, "_k", "left")
+    v = a.labels.filter("label_role <> 'preferred'").groupBy(F.replace(F.lower("value"), F.lit("ς"), F.lit("σ")).alias("_k")).agg(F.min("resource").alias("v"), F.count_distinct("resource").alias("n"))
+    both = a.labels.select("value").distinct().join(o, "value", "left").withColumn("_k", F.replace(F.lower("value"), F.lit("ς"), F.lit("σ"))).join(v, "_k", "left")
     outcome = F.when(F.col("o").isNotNull(), "official").when(F.col("n") == 1, "variant").when(F.col("n") > 1, "open").otherwise("unresolved")
     return both.select("value", outcome.alias("outcome"), F.when(F.col("o").isNotNull(), F.col("o")).when(F.col("n") == 1, F.col("v")).alias("target"))
 

@@ -16,7 +16,7 @@ B = Book()
 _DISP = f"disp AS (SELECT resource, first(value ORDER BY {ROLE}, lower(value), value) AS pref FROM atlas_labels WHERE lower(language) = 'en' GROUP BY 1)"
 _SIDE = "{0} AS (SELECT r.id AS member, d.pref, min(r.definition) AS definition FROM atlas_resources r JOIN disp d ON d.resource = r.id WHERE r.scheme = '{1}' GROUP BY ALL)"
 _SIDES = f"{_DISP}, {_SIDE.format('s', SCHEME_A)}, {_SIDE.format('t', SCHEME_B)}"
-FOLD = "lower(trim(regexp_replace({0}, '\\s+', ' ', 'g'), ' '))"
+FOLD = "replace(lower(trim(regexp_replace({0}, '\\s+', ' ', 'g'), ' ')), 'ς', 'σ')"
 TOKS = "list_filter(string_split_regex({0}, '[^0-9a-z]+'), lambda x: x <> '')"
 
 
