@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmesh.functions.labels import display_labels, english
 from lexmesh.functions.text import bigrams, char_ngrams, fold_plain, identifier_tail, word_tokens
+from lexmesh.storage import materialize
 
 #: Classes of candidate pairs, strongest first.
 CLASSES = ("normalizedLabelEquality", "alternateLabelEquality", "substringNearMiss", "editDistanceNearMiss", "siblingDistractor")
@@ -122,25 +123,31 @@ def check_sides(sources: DataFrame, targets: DataFrame) -> None:
         raise ValueError("a member lies on both sides")
 
 
-def text_features(df: DataFrame, column: Column, weight: int, grams: tuple[int, ...] = (3, 4)) -> DataFrame:
-    """(member, feature, value) of one text column: words, bigrams, the phrase and character n-grams; repeats count up to TERM_CAP."""
-    toks = word_tokens(fold_plain(column))
-    base = df.select("member", toks.alias("toks"), F.array_join(toks, " ").alias("phrase")).filter(F.size("toks") > 0)
-    kinds = [("word", F.col("toks"), 1, True), ("bigram", bigrams("toks"), 1, False), ("phrase", F.array("phrase"), 2, False)] + [(f"char{g}", char_ngrams("phrase", g), 1, True) for g in grams]
-    out = []
-    for name, values, times, capped in kinds:
-        n = base.select("member", F.explode(values).alias("v")).groupBy("member", "v").agg(F.count(F.lit(1)).alias("n"))
-        count = F.least("n", F.lit(TERM_CAP)) if capped else F.col("n")
-        out.append(n.select("member", F.concat(F.lit(f"{name}:"), "v").alias("feature"), (count * weight * times).alias("value")))
-    return reduce(DataFrame.unionByName, out)
+def text_features(texts: DataFrame, grams: tuple[int, ...] = (3, 4)) -> DataFrame:
+    """(member, feature, value) of texts (member, value, weight): words, bigrams, the phrase and character n-grams.
+
+    Repeats within one text count up to TERM_CAP; a text with equal weight counts once a
+    member. All kinds of features leave one row in one pass.
+    """
+    toks = word_tokens(fold_plain("value"))
+    base = texts.select("member", "value", "weight").distinct().select("member", "value", "weight", toks.alias("toks"), F.array_join(toks, " ").alias("phrase")).filter(F.size("toks") > 0)
+
+    def kind(name: str, values: Column, times: int, capped: bool) -> Column:
+        return F.transform(values, lambda v: F.struct(F.concat(F.lit(f"{name}:"), v).alias("f"), F.lit(times).alias("m"), F.lit(capped).alias("cap")))
+
+    every = F.concat(kind("word", F.col("toks"), 1, True), kind("bigram", bigrams("toks"), 1, False), kind("phrase", F.array("phrase"), 2, False), *[kind(f"char{g}", char_ngrams("phrase", g), 1, True) for g in grams])
+    flat = base.select("member", "value", "weight", F.explode(every).alias("e"))
+    n = flat.groupBy("member", "value", "weight", F.col("e.f").alias("feature"), F.col("e.m").alias("m"), F.col("e.cap").alias("cap")).agg(F.count(F.lit(1)).alias("n"))
+    count = F.when(F.col("cap"), F.least("n", F.lit(TERM_CAP))).otherwise(F.col("n"))
+    return n.groupBy("member", "feature").agg(F.sum(count * F.col("weight") * F.col("m")).alias("value"))
 
 
 def concept_features(found: DataFrame, labels: DataFrame, weights: dict[str, int], grams: tuple[int, ...] = (3, 4)) -> DataFrame:
     """(member, feature, value) summed over preferred and alternate labels, identifier words and definition."""
     alts = labels.filter(english("language")).select(F.col("resource").alias("member"), "value").distinct().join(found.select("member", "pref"), "member").filter("value <> pref")
     fields = [("preferred", found, F.col("pref")), ("alternate", alts, F.col("value")), ("identifier", found, identifier_tail("member")), ("definition", found, F.col("definition"))]
-    parts = [text_features(d.filter(c.isNotNull()), c, weights[n], grams) for n, d, c in fields if weights.get(n)]
-    return reduce(DataFrame.unionByName, parts).groupBy("member", "feature").agg(F.sum("value").alias("value"))
+    texts = reduce(DataFrame.unionByName, [d.select("member", c.alias("value"), F.lit(weights[n]).alias("weight")) for n, d, c in fields if weights.get(n)])
+    return text_features(texts.filter("value IS NOT NULL"), grams)
 
 
 def weighted(s: DataFrame, t: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -152,11 +159,67 @@ def weighted(s: DataFrame, t: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(d.join(df, "feature").select("member", "feature", (F.col("value") * rarity).alias("w")) for d in (s, t))
 
 
-def sparse_scores(s: DataFrame, t: DataFrame) -> DataFrame:
-    """(source, target, score): cosine of weighted vectors, rounded to 9 places; pairs without common feature have none."""
+#: A feature that alone would join more pairs than this is multiplied in blocks instead.
+HOT_PAIRS = 5_000
+#: Queries multiplied at once.
+BLOCK_ROWS = 1024
+
+
+def _hot_products(s: DataFrame, t: DataFrame, hot: list[str]) -> list[DataFrame]:
+    """(source, target, dot) over hot features: blocks of one side, broadcast one at a time, times partitions of the other."""
+    import numpy as np
+    import pandas as pd
+
+    spark = s.sparkSession
+    index = F.broadcast(spark.createDataFrame(list(enumerate(hot)), "i int, feature string"))
+    # a member's hot entries are at most as many as there are hot features
+    packed = [d.join(index, "feature").groupBy("member").agg(F.collect_list("i").alias("i"), F.collect_list(F.col("w").cast("double")).alias("w")) for d in (s, t)]
+    left, right = (materialize(p) for p in packed)
+    parts = max(1, -(-left.count() // BLOCK_ROWS))
+    width = len(hot)
+
+    def dense(rows_i, rows_w):
+        out = np.zeros((len(rows_i), width))
+        for r, (i, w) in enumerate(zip(rows_i, rows_w, strict=True)):
+            out[r, np.asarray(i, dtype=int)] = w
+        return out
+
+    out = []
+    for k in range(parts):
+        block = left.filter(F.pmod(F.xxhash64("member"), F.lit(parts)) == k).collect()
+        if not block:
+            continue
+        ids, q = np.array([r["member"] for r in block]), dense([r["i"] for r in block], [r["w"] for r in block])
+
+        def multiply(batches, ids=ids, q=q):
+            for pdf in batches:
+                if len(pdf):
+                    dots = q @ dense(pdf["i"], pdf["w"]).T
+                    a, b = np.nonzero(dots)
+                    yield pd.DataFrame({"source": ids[a], "target": pdf["member"].to_numpy()[b], "dot": dots[a, b]})
+
+        out.append(right.mapInPandas(multiply, "source string, target string, dot double"))
+    return out
+
+
+def sparse_scores(s: DataFrame, t: DataFrame, hot_pairs: int = HOT_PAIRS) -> DataFrame:
+    """(source, target, score): cosine of weighted vectors, rounded to 9 places; pairs without common feature have none.
+
+    Rare features are joined; a feature on so many members of both sides that its join
+    alone would give more than ``hot_pairs`` rows is multiplied in dense blocks. Every
+    feature counts either way. Hot features number at most the square root of
+    occurrences times it, so their list stays small.
+    """
     norm = lambda d: d.groupBy("member").agg(F.sqrt(F.sum(F.col("w").cast("double") * F.col("w").cast("double"))).alias("norm"))
-    dot = s.select(F.col("member").alias("source"), "feature", F.col("w").alias("_a")).join(t.select(F.col("member").alias("target"), "feature", F.col("w").alias("_b")), "feature")
-    dot = dot.groupBy("source", "target").agg(F.sum(F.col("_a").cast("double") * F.col("_b").cast("double")).alias("dot"))
+    count = lambda d, n: d.groupBy("feature").agg(F.count(F.lit(1)).alias(n))
+    s, t = materialize(s), materialize(t)
+    hot = [r["feature"] for r in count(s, "x").join(count(t, "y"), "feature").filter(F.col("x") * F.col("y") > hot_pairs).select("feature").orderBy("feature").collect()]
+    names = F.broadcast(s.sparkSession.createDataFrame([(x,) for x in hot], "feature string"))
+    rare_s, rare_t = (d.join(names, "feature", "left_anti") for d in (s, t))
+    dot = rare_s.select(F.col("member").alias("source"), "feature", F.col("w").alias("_a")).join(rare_t.select(F.col("member").alias("target"), "feature", F.col("w").alias("_b")), "feature")
+    dot = dot.select("source", "target", (F.col("_a").cast("double") * F.col("_b").cast("double")).alias("dot"))
+    dot = reduce(DataFrame.unionByName, [dot, *(_hot_products(s, t, hot) if hot else [])])
+    dot = dot.groupBy("source", "target").agg(F.sum("dot").alias("dot"))
     na, nb = norm(s).select(F.col("member").alias("source"), F.col("norm").alias("_na")), norm(t).select(F.col("member").alias("target"), F.col("norm").alias("_nb"))
     return dot.join(na, "source").join(nb, "target").select("source", "target", F.round(F.col("dot") / (F.col("_na") * F.col("_nb")), 9).alias("score"))
 

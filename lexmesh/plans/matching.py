@@ -81,12 +81,12 @@ _WEIGHTS = {"preferred": 4, "alternate": 2, "definition": 1}
 
 def _feat(side: str) -> str:
     src = f"SELECT member, pref AS v, 4 AS w FROM {side} UNION ALL SELECT DISTINCT {side}.member, l.value, 2 FROM {side} JOIN atlas_labels l ON l.resource = {side}.member WHERE lower(l.language) = 'en' AND l.value <> {side}.pref UNION ALL SELECT member, definition, 1 FROM {side} WHERE definition IS NOT NULL"
-    base = f"SELECT member, w, k, array_to_string(k, ' ') AS p FROM (SELECT member, w, {TOKS.format(FOLD.format('v'))} AS k FROM ({src})) WHERE len(k) > 0"
-    word = "SELECT member, w, 'word:' || unnest(k) AS f, 1 AS m, true AS cap FROM b"
-    bigram = "SELECT member, w, 'bigram:' || unnest(list_transform(range(1, len(k)), lambda i: k[i] || ' ' || k[i + 1])) AS f, 1, false FROM b"
-    phrase = "SELECT member, w, 'phrase:' || p AS f, 2, false FROM b"
-    gram = "SELECT member, w, 'char3:' || unnest(list_transform(range(1, length(p) + 3), lambda i: substr('  ' || p || '  ', i, 3))) AS f, 1, true FROM b"
-    flat = f"SELECT member, w, f, m, cap, count(*) AS n FROM ({word} UNION ALL {bigram} UNION ALL {phrase} UNION ALL {gram}) GROUP BY ALL"
+    base = f"SELECT member, v, w, k, array_to_string(k, ' ') AS p FROM (SELECT DISTINCT member, v, w, {TOKS.format(FOLD.format('v'))} AS k FROM ({src})) WHERE len(k) > 0"
+    word = "SELECT member, v, w, 'word:' || unnest(k) AS f, 1 AS m, true AS cap FROM b"
+    bigram = "SELECT member, v, w, 'bigram:' || unnest(list_transform(range(1, len(k)), lambda i: k[i] || ' ' || k[i + 1])) AS f, 1, false FROM b"
+    phrase = "SELECT member, v, w, 'phrase:' || p AS f, 2, false FROM b"
+    gram = "SELECT member, v, w, 'char3:' || unnest(list_transform(range(1, length(p) + 3), lambda i: substr('  ' || p || '  ', i, 3))) AS f, 1, true FROM b"
+    flat = f"SELECT member, v, w, f, m, cap, count(*) AS n FROM ({word} UNION ALL {bigram} UNION ALL {phrase} UNION ALL {gram}) GROUP BY ALL"
     return f"SELECT member, f AS feature, CAST(sum(w * m * CASE WHEN cap THEN least(n, 3) ELSE n END) AS BIGINT) AS value FROM (WITH b AS ({base}) {flat}) GROUP BY ALL"
 
 
