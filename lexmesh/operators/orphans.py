@@ -24,14 +24,15 @@ def null_masks(n: int) -> list[tuple[bool, ...]]:
     return [tuple(bool(m >> i & 1) for i in range(n)) for m in range(2**n)]
 
 
-def unmatched(references: DataFrame, targets: DataFrame, columns: list[tuple[str, str]], match: str = "simple") -> DataFrame:
+def unmatched(references: DataFrame, targets: DataFrame, columns: list[tuple[str, str]], match: str = "simple", hot_rows: int = HOT_ROWS) -> DataFrame:
     """References whose key, in ``columns`` (reference column, target column), no target has.
 
     match: as in SQL foreign keys. ``simple``: a reference with any null holds.
     ``partial``: the columns present must occur together in some target; all null
     holds. ``full``: all null holds, some null never does. Targets with nulls in the
     compared columns match nothing there. Each null mask is anti-joined on its own
-    columns only; distinct keys are joined, so repeated references cost nothing.
+    columns only; distinct keys are joined, so repeated references cost nothing there.
+    ``references`` should be cheap to read again (materialized).
     """
     if match not in ("simple", "partial", "full"):
         raise ValueError(f"unknown match semantics: {match}")
@@ -48,18 +49,20 @@ def unmatched(references: DataFrame, targets: DataFrame, columns: list[tuple[str
         known = targets.select(*[F.col(t).alias(a) for t, a in names.items()]).dropna().distinct()
         wanted = group.select(*[F.col(r).alias(names[t]) for r, t in here]).distinct()
         absent = wanted.join(known, list(names.values()), "left_anti")
-        # back to the rows: the absent keys are few beside the references
-        on = reduce(lambda a, b: a & b, [group[r] == absent[names[t]] for r, t in here])
-        out.append(group.join(absent, on, "left_semi"))
+        # back to the rows by an injective text of the key; hot absent keys are joined apart
+        text = lambda cols: F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(cols)]))
+        flagged = absent.select(text(list(names.values())).alias("_ref"), F.lit(True).alias("_absent"))
+        both = join_unique(group.withColumn("_ref", text([r for r, _ in here])), flagged, "_ref", hot_rows)
+        out.append(both.filter("_absent").select(*references.columns))
     return reduce(DataFrame.unionByName, out) if out else references.filter(F.lit(False))
 
 
 def reference_rows(statements: DataFrame, evidence: DataFrame, labels: DataFrame) -> DataFrame:
-    """(referring_table, referring_field, record_id, target, key, loaded_at) of all checked references."""
+    """(referring_table, referring_field, record_id, target, key, _at) of all checked references."""
     at = F.col("loaded_at")
 
     def refs(table: str, df: DataFrame, field: str, target: str) -> DataFrame:
-        return df.select(F.lit(table).alias("referring_table"), F.lit(field).alias("referring_field"), strip_key("id").alias("record_id"), F.concat(F.lit(target), strip_key(field)).alias("key"), at.alias("_at"))
+        return df.select(F.lit(table).alias("referring_table"), F.lit(field).alias("referring_field"), strip_key("id").alias("record_id"), F.lit(target).alias("target"), strip_key(field).alias("key"), at.alias("_at"))
 
     parts = [
         refs("atlas_statements", statements.filter(F.coalesce(F.trim("statement_type") != "SourceAssignment", F.lit(True))), "subject", "r"),
@@ -79,17 +82,20 @@ def orphan_references(resources: DataFrame, statements: DataFrame, evidence: Dat
     referring id name different keys, each key counts from its own earliest row. A
     null key refers to nothing and holds (simple match). A null loaded_at is never late.
     """
-    refs = reference_rows(statements, evidence, labels).filter("key IS NOT NULL")
     # the referring record's earliest load: rows of one record and key meet after local reduction
-    refs = refs.groupBy("referring_table", "referring_field", "record_id", "key").agg(F.min("_at").alias("_at"))
+    refs = materialize(reference_rows(statements, evidence, labels).groupBy("referring_table", "referring_field", "record_id", "target", "key").agg(F.min("_at").alias("_at")))
     status = F.lower(F.regexp_replace("record_status", r"^\s+|\s+$", ""))
     gone = F.coalesce(status.isin(*GONE), F.lit(False))
-    known = resources.select(F.concat(F.lit("r"), strip_key("id")).alias("key"), F.col("loaded_at").alias("_t"), gone.alias("_gone")).unionByName(
-        statements.select(F.concat(F.lit("s"), strip_key("id")).alias("key"), F.col("loaded_at").alias("_t"), F.lit(False).alias("_gone"))
+    known = resources.select(F.lit("r").alias("target"), strip_key("id").alias("key"), F.col("loaded_at").alias("_t"), gone.alias("_gone")).unionByName(
+        statements.select(F.lit("s").alias("target"), strip_key("id").alias("key"), F.col("loaded_at").alias("_t"), F.lit(False).alias("_gone"))
     )
-    late_rank = F.coalesce(F.unix_micros(F.col("_t").cast("timestamp")), F.lit(-(2**62))) * 2 + F.col("_gone").cast("long")
-    known = known.filter("key IS NOT NULL").groupBy("key").agg(F.min("_t").alias("_first"), F.max_by("_gone", late_rank).alias("_gone"))
-    refs = materialize(refs)
-    both = join_unique(refs, known.withColumn("_here", F.lit(True)), "key", hot_rows)
-    kind = F.when(F.col("_here").isNull(), "missing").when(F.col("_gone"), "deleted").when(F.col("_first") > F.col("_at"), "late")
-    return both.select("referring_table", "referring_field", "record_id", F.substring("key", 2, 2**31 - 1).alias("key"), F.col("_at").alias("loaded_at"), kind.alias("orphan_kind")).filter("orphan_kind IS NOT NULL")
+    late_rank = F.coalesce(F.unix_micros(F.col("_t").cast("timestamp")), F.lit(-(2**61))) * 2 + F.col("_gone").cast("long")
+    known = materialize(known.filter("key IS NOT NULL").groupBy("target", "key").agg(F.min("_t").alias("_first"), F.max_by("_gone", late_rank).alias("_gone")))
+    out = ("referring_table", "referring_field", "record_id", "key", F.col("_at").alias("loaded_at"))
+    # the key of a reference is composite: which table it means, and the identifier
+    missing = unmatched(refs, known, [("target", "target"), ("key", "key")], "simple", hot_rows).select(*out, F.lit("missing").alias("orphan_kind"))
+    text = F.concat("target", "key")
+    held = refs.filter("key IS NOT NULL").withColumn("_k", text)
+    both = join_unique(held, known.select(text.alias("_k"), "_first", "_gone", F.lit(True).alias("_here")), "_k", hot_rows).filter("_here")
+    kind = F.when(F.col("_gone"), "deleted").when(F.col("_first") > F.col("_at"), "late")
+    return missing.unionByName(both.select(*out, kind.alias("orphan_kind")).filter("orphan_kind IS NOT NULL"))
