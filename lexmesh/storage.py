@@ -7,15 +7,43 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once an application.
+
+    Functions that run in workers are pickled by reference to their module, and a
+    worker need not have the package on its path.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(root):
+        return  # already imported from an archive
+    folder = tempfile.mkdtemp(prefix="lexmesh-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = f"{folder}/lexmesh_package.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for base, _, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    archive.write(path, os.path.join("lexmesh", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(target)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data directory."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,6 +53,7 @@ def scratch_dir(spark: SparkSession) -> str:
     The setting is read from the session. Only where it is unset (tests, a
     single machine) a temporary folder takes its place.
     """
+    ship_package(spark)
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         base = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
