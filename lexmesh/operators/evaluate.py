@@ -96,28 +96,63 @@ def cheapest_cover(table: dict[str, tuple[int, frozenset[str]]], arms: dict[str,
     table: option -> (cost, signatures it contains); arms: option -> arm; needed:
     signature -> weight. Branch and bound on the signature-compressed table, which is
     small however many pairs there are. Ties go to fewer options, then to names.
+
+    A signature whose options include all options of another needs no row of its own.
+    Bounds are dual: each row in turn is paid as much as its cheapest option has left.
     """
-    want = frozenset(k for k, w in needed.items() if w)
-    by_need = {s: sorted((o for o, (_, has) in table.items() if s in has), key=lambda o: (table[o][0], o)) for s in want}
-    if any(not v for v in by_need.values()):
-        return None
+    names = sorted(table)
+    cost = [table[o][0] for o in names]
+    rows: dict[str, int] = {s: 0 for s, w in needed.items() if w}
+    for i, o in enumerate(names):
+        for s in table[o][1]:
+            if s in rows:
+                rows[s] |= 1 << i
+    least: list[int] = []
+    for r in sorted(set(rows.values()), key=lambda r: (r.bit_count(), r)):
+        if not r:
+            return None
+        if not any(k & r == k for k in least):
+            least.append(r)
+    mates = [sum(1 << j for j, x in enumerate(names) if arms[x] == arms[o]) for o in names]
     best: list = [None]
 
-    def go(chosen: list[str], cost: int, left: frozenset[str]) -> None:
-        key = (cost, len(chosen), sorted(chosen))
-        if best[0] is not None and key[:2] > best[0][:2]:
-            return
+    def bits(r: int) -> list[int]:
+        out = []
+        while r:
+            out.append((r & -r).bit_length() - 1)
+            r &= r - 1
+        return out
+
+    def go(chosen: list[int], spent: int, open_: int, left: list[int]) -> None:
         if not left:
+            key = (spent, len(chosen), sorted(names[i] for i in chosen))
             if best[0] is None or key < best[0]:
                 best[0] = key
             return
-        used = {arms[o] for o in chosen}
-        tight = min(left, key=lambda s: (len(by_need[s]), s))
-        for o in by_need[tight]:
-            if arms[o] not in used:
-                go([*chosen, o], cost + table[o][0], left - table[o][1])
-
-    go([], 0, want)
+        left = sorted({r & open_ for r in left}, key=int.bit_count)
+        if not left[0]:
+            return
+        rest, low = cost.copy(), spent
+        for r in left:
+            has = bits(r)
+            pay = min(rest[i] for i in has)
+            if pay:
+                low += pay
+                for i in has:
+                    rest[i] -= pay
+        if best[0] is not None:
+            if (low, len(chosen) + 1) > best[0][:2]:
+                return
+            # an option that alone lifts the bound over the best is in no better cover
+            open_ &= ~sum(1 << i for i in bits(open_) if low + rest[i] > best[0][0])
+            left = sorted({r & open_ for r in left}, key=int.bit_count)
+            if not left[0]:
+                return
+        for i in sorted(bits(left[0]), key=lambda i: (cost[i] / sum(r >> i & 1 for r in left), i)):
+            go([*chosen, i], spent + cost[i], open_ & ~mates[i], [r for r in left if not r >> i & 1])
+            open_ &= ~(1 << i)
+
+    go([], 0, (1 << len(names)) - 1, least)
     return None if best[0] is None else (best[0][0], best[0][2])
 
 

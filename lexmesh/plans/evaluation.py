@@ -69,12 +69,16 @@ B.add("ev9_signatures", f"WITH {_RANK} SELECT signature, count(*) AS pairs FROM
 
 
 def _cover(a: Atlas):
-    """Least-cost cover of gold by reviewers in three arms of reviewers; costs are their candidates."""
-    opts = materialize(_options(a).filter(F.col("option").rlike("-[0-9]$")))
+    """Least-cost cover, by all reviewers, of the gold that any of them ranks within the stated depth; costs are their candidates."""
+    opts = materialize(_options(a))
     gold = opts.join(_gold(a).select("pair").distinct(), "pair", "left_semi")
     cost = {r["option"]: r["n"] for r in opts.groupBy("option").agg(F.count_distinct("pair").alias("n")).collect()}
-    sig = {r["signature"]: r["pairs"] for r in V.signatures(gold).orderBy(F.desc("pairs"), "signature").limit(12).collect()}
-    found = V.cheapest_cover({o: (n, frozenset(s for s in sig if o in s.split("|"))) for o, n in cost.items()}, {o: o for o in cost}, sig)
+    sig = {r["signature"]: r["pairs"] for r in V.signatures(gold).collect()}
+    holds: dict[str, set[str]] = {o: set() for o in cost}
+    for s in sig:
+        for o in s.split("|"):
+            holds[o].add(s)
+    found = V.cheapest_cover({o: (n, frozenset(holds[o])) for o, n in cost.items()}, {o: o for o in cost}, sig)
     return a.spark.createDataFrame([(o, cost[o]) for o in (found[1] if found else [])], "option string, cost long")
 
 
