@@ -140,19 +140,27 @@ def typed_paths(edges: DataFrame, moves: list[tuple[str, str, str]], start: str,
     return hits.groupBy("source", "target").agg(F.min(F.struct("steps", "mode")).alias("m")).select("source", "target", "m.steps", "m.mode")
 
 
-def follow_chain(links: DataFrame, depth: int = 50) -> DataFrame:
+def follow_chain(links: DataFrame) -> DataFrame:
     """(start, sink, steps, outcome) of functional chains a -> b: resolved at a node without link, branch at a node with several, cycle if it never ends.
 
-    Doubles the distance each round, so long chains take few rounds.
+    Doubles the distance each round, so long chains take few rounds. The nodes before a
+    chain's end lie at every distance from it, so a round in which no start gets to an
+    end leaves only those that go round in cycles.
     """
     out = links.select("a", "b").distinct()
     n = out.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("b"))
     single = materialize(n.filter("n = 1").select("a", "b"))
     forks = materialize(n.filter("n > 1").select("a"))
     state = materialize(single.select(F.col("a").alias("start"), F.col("b").alias("at"), F.lit(1).cast("long").alias("steps")))
-    for _ in range(max(1, depth).bit_length() + 1):
+    going = state.join(single.select(F.col("a").alias("at")), "at", "left_semi").count()
+    while going:
         jump = state.select(F.col("start").alias("at"), F.col("at").alias("_to"), F.col("steps").alias("_more"))
-        state = materialize(state.join(jump, "at", "left").select("start", F.coalesce("_to", "at").alias("at"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps")))
+        nxt = materialize(state.join(jump, "at", "left").select("start", F.coalesce("_to", "at").alias("at"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps")))
+        discard(state)
+        state, before = nxt, going
+        going = state.join(single.select(F.col("a").alias("at")), "at", "left_semi").count()
+        if going == before:
+            break
     open_ = single.select(F.col("a").alias("at")).withColumn("_open", F.lit(1))
     fork = forks.select(F.col("a").alias("at")).withColumn("_fork", F.lit(1))
     both = state.join(open_, "at", "left").join(fork, "at", "left")

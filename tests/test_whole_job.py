@@ -1,6 +1,7 @@
 """Queries that once did part of their job, on small tables where the missing part shows."""
 
 import __spark_entry__ as entry
+from lexmesh.operators import graph as G
 
 
 def run(spark, folder, name, **tables):
@@ -15,3 +16,9 @@ def test_cover_holds_all_gold_of_all_reviewers(spark, tmp_path):
     shared = [(20, "x", "same", True, "medium", "r-3"), (20, "x", "same", True, "high", "r-99"), (21, "x", "near_same", True, "high", "r-99")]
     got = run(spark, tmp_path, "ev8_cheapest_cover", relation_verdicts=spark.createDataFrame(own + shared, schema)).collect()
     assert {r.option: r.cost for r in got} == {f"r-{i}": 2 if i == 3 else 1 for i in range(14)}
+
+
+def test_chain_of_any_length_is_resolved(spark):
+    links = [(f"n{i}", f"n{i + 1}") for i in range(300)] + [(f"c{i}", f"c{(i + 1) % 5}") for i in range(5)] + [("t", "c0"), ("u", "f"), ("f", "p"), ("f", "q")]
+    got = {r.start: (r.sink, r.steps, r.outcome) for r in G.follow_chain(spark.createDataFrame(links, "a string, b string")).collect()}
+    assert got == {f"n{i}": ("n300", 300 - i, "resolved") for i in range(300)} | {x: (None, None, "cycle") for x in ("c0", "c1", "c2", "c3", "c4", "t")} | {"u": ("f", 1, "branch")}
