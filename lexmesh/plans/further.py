@@ -11,7 +11,7 @@ from lexmesh.operators import graph as G
 from lexmesh.operators import multiset as M
 from lexmesh.operators.explore import check_page
 from lexmesh.plans.base import Atlas, Book
-from lexmesh.plans.matching import _PAIR, _VEC, TOKS, SQL as MATCHING, _dense, _pairs, _sides, _up  # noqa: I001
+from lexmesh.plans.matching import _PAIR, _VEC, TOKS, SQL as MATCHING, _dense, _pairs, _sides, _true_pairs, _up  # noqa: I001
 from lexmesh.sources import formats, store
 from lexmesh.storage import materialize, scratch_dir
 
@@ -39,12 +39,13 @@ B.add("cg14_fuzzy_ranks", f"WITH {_PAIR}, s AS (SELECT a, b, round(jaro_winkler_
     lambda a: C.top_k(_pairs(a).select(F.col("a").alias("source"), F.col("b").alias("target"), F.round(X.jaro_winkler("a", "b"), 6).alias("score")), 3).select(F.col("source").alias("a"), F.col("target").alias("b"), "rank")
 )
 B.add("cg17_class_costs", f"SELECT generation_class, count(*) AS n FROM ({MATCHING['cg7_candidate_classes']}) GROUP BY 1")(lambda a: _classes(a).groupBy("generation_class").agg(F.count(F.lit(1)).alias("n")))
+B.add("cg17_class_costs_unmasked")(lambda a: _classes(a, "_unmasked").groupBy("generation_class").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _classes(a: Atlas):
+def _classes(a: Atlas, kind: str = ""):
     from lexmesh.plans.matching import QUERIES
 
-    return QUERIES["cg7_candidate_classes"](a.spark, a.path)
+    return QUERIES[f"cg7_candidate_classes{kind}"](a.spark, a.path)
 
 
 def _controls(a: Atlas):
@@ -63,8 +64,15 @@ def _controls(a: Atlas):
 B.add("cg8_random_controls")(_controls)
 B.add("cg9_side_guard")(lambda a: (C.check_sides(*_sides(a)), a.spark.createDataFrame([("sides are disjoint and not empty",)], "state string"))[1])
 B.add("cg11_order_free_digest", "SELECT generation_class, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(source || '>' || target), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM (" + MATCHING["cg7_candidate_classes"] + ") GROUP BY 1")(
-    lambda a: _classes(a).groupBy("generation_class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.conv(F.substring(F.md5(F.concat("source", F.lit(">"), "target")), 1, 8), 16, 10).cast("bigint")).alias("digest"))
+    lambda a: _digests(_classes(a))
 )
+B.add("cg11_order_free_digest_unmasked")(lambda a: _digests(_classes(a, "_unmasked")))
+
+
+def _digests(pairs):
+    return pairs.groupBy("generation_class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.conv(F.substring(F.md5(F.concat("source", F.lit(">"), "target")), 1, 8), 16, 10).cast("bigint")).alias("digest"))
+
+
 B.add("so5_canonical_order", "SELECT release, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(l), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM (SELECT DISTINCT release, concat_ws('|', id, resource, label_role, value, language) AS l FROM atlas_labels) GROUP BY 1")(
     lambda a: a.labels.select("release", F.concat_ws("|", "id", "resource", "label_role", "value", "language").alias("l")).distinct().groupBy("release").agg(F.count(F.lit(1)).alias("n"), F.sum(F.conv(F.substring(F.md5("l"), 1, 8), 16, 10).cast("bigint")).alias("digest"))
 )
@@ -79,6 +87,7 @@ B.add("sf19_marker_words", f"SELECT DISTINCT value, array_to_string(list_sort(li
 _X, _Y = TOKS.format("lower(a)"), TOKS.format("lower(b)")
 _FLAGS = f"concat_ws('|', CASE WHEN lower(a) = lower(b) THEN 'case' END, CASE WHEN list_sort(x) = list_sort(y) THEN 'words' END, CASE WHEN contains(lower(a), lower(b)) OR contains(lower(b), lower(a)) THEN 'contained' END, CASE WHEN len(list_intersect(x, y)) = 0 THEN 'disjoint' END, CASE WHEN levenshtein(a, b) <= 2 THEN 'near' END)"
 B.add("sf20_challenge_classes", f"WITH {_PAIR}, k AS (SELECT a, b, {_X} AS x, {_Y} AS y FROM pair) SELECT a, b, {_FLAGS} AS classes FROM k")(lambda a: _challenges(_pairs(a)))
+B.add("sf20_challenge_classes_unmasked")(lambda a: _challenges(_true_pairs(a)))
 
 
 def _challenges(pairs):
@@ -103,6 +112,9 @@ def _variant():
 
 B.add("sf15_variant_classes", f"WITH {_PAIR} SELECT a, b, {_VAR} AS variant FROM pair")(lambda a: _pairs(a).withColumn("variant", _variant()))
 B.add("ev14_distance_by_variant", f"WITH {_PAIR} SELECT {_VAR} AS variant, CAST(least(levenshtein(a, b), 5) AS INT) AS distance, count(*) AS n FROM pair GROUP BY ALL")(lambda a: _pairs(a).groupBy(_variant().alias("variant"), F.least(F.levenshtein("a", "b"), F.lit(5)).alias("distance")).agg(F.count(F.lit(1)).alias("n")))
+# no SQL: DuckDB lowers a final sigma to another letter
+B.add("sf15_variant_classes_unmasked")(lambda a: _true_pairs(a).withColumn("variant", _variant()))
+B.add("ev14_distance_by_variant_unmasked")(lambda a: _true_pairs(a).groupBy(_variant().alias("variant"), F.least(F.levenshtein("a", "b"), F.lit(5)).alias("distance")).agg(F.count(F.lit(1)).alias("n")))
 _BLANK = "coalesce(trim({0}), '') = ''"
 B.add("sf24_level_paths", f"SELECT edge_id, CASE WHEN {_BLANK.format('parent_label')} THEN '' WHEN {_BLANK.format('child_label')} THEN parent_label ELSE parent_label || '>' || child_label END AS path, {_BLANK.format('parent_label')} AND NOT ({_BLANK.format('child_label')}) AS gap FROM gcmd_hierarchy_edges")(lambda a: _levels(a))
 

@@ -46,6 +46,8 @@ _EDA, _EDB = FOLD.format(_ASCII.format("s.pref")), FOLD.format(_ASCII.format("t.
 B.add("jn19_near_in_edits", f"WITH {_SIDES} SELECT s.member AS source, t.member AS target, CAST(levenshtein({_EDA}, {_EDB}) AS INT) AS distance FROM s, t WHERE levenshtein({_EDA}, {_EDB}) BETWEEN 1 AND 2 AND {_EDA} <> '' AND {_EDB} <> ''")(
     lambda a: C.near_in_edits(*map(_plain, _sides(a)))
 )
+# the whole job is done by the queries named ..._unmasked; where DuckDB counts bytes they have no SQL
+B.add("jn19_near_in_edits_unmasked")(lambda a: C.near_in_edits(*_sides(a)))
 _UP = "up AS (SELECT DISTINCT subject AS a, object AS b FROM atlas_statements WHERE predicate = 'skos:broader')"
 
 
@@ -64,12 +66,15 @@ B.add(
     SELECT source, target, ['normalizedLabelEquality', 'alternateLabelEquality', 'substringNearMiss', 'editDistanceNearMiss', 'siblingDistractor'][min(c) + 1] AS generation_class FROM every GROUP BY ALL""",
 )(lambda a: C.candidate_pairs(*map(_plain, _sides(a)), a.labels, _up(a)))
 B.add("wn12_class_counts", f"""WITH {_SIDES.replace("d.pref", _ASCII.format("d.pref") + " AS pref")}, {_EQ}, {_ANY}, every AS (SELECT source, target, 0 AS c FROM eq UNION ALL SELECT source, target, 1 FROM anyeq) SELECT c AS class, count(*) AS n FROM (SELECT source, target, min(c) AS c FROM every GROUP BY ALL) GROUP BY 1""")(
-    lambda a: _class_counts(a)
+    lambda a: _class_counts(a, *map(_plain, _sides(a)))
+)
+B.add("cg7_candidate_classes_unmasked")(lambda a: C.candidate_pairs(*_sides(a), a.labels, _up(a)))
+B.add("wn12_class_counts_unmasked", f"""WITH {_SIDES}, {_EQ}, {_ANY}, every AS (SELECT source, target, 0 AS c FROM eq UNION ALL SELECT source, target, 1 FROM anyeq) SELECT c AS class, count(*) AS n FROM (SELECT source, target, min(c) AS c FROM every GROUP BY ALL) GROUP BY 1""")(
+    lambda a: _class_counts(a, *_sides(a))
 )
 
 
-def _class_counts(a: Atlas):
-    s, t = map(_plain, _sides(a))
+def _class_counts(a: Atlas, s, t):
     equal = C.equal_preferred(s, t)
     claimed = C.claim_classes([("0", equal), ("1", C.equal_any(C.concept_labels(s, a.labels), C.concept_labels(t, a.labels), equal))])
     return claimed.groupBy(F.col("generation_class").cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n"))
@@ -198,24 +203,53 @@ B.add("sf14_singular", f"WITH w AS (SELECT DISTINCT unnest({TOKS.format(FOLD.for
 _PAIR = f"pair AS (SELECT DISTINCT {_ASCII.format('x.value')} AS a, {_ASCII.format('y.value')} AS b FROM atlas_labels x JOIN atlas_labels y ON x.resource = y.resource AND x.value < y.value)"
 
 
+_TRUE_PAIR = "pair AS (SELECT DISTINCT x.value AS a, y.value AS b FROM atlas_labels x JOIN atlas_labels y ON x.resource = y.resource AND x.value < y.value)"
+
+
+def _true_pairs(a: Atlas):
+    """Different values of one resource, as they are."""
+    v = a.labels.select("resource", "value").distinct()
+    return v.withColumnRenamed("value", "a").join(v.withColumnRenamed("value", "b"), "resource").filter("a < b").select("a", "b").distinct()
+
+
 def _pairs(a: Atlas):
     """Different values of one resource, one mark for every character outside ASCII."""
-    v = a.labels.select("resource", "value").distinct()
-    both = v.withColumnRenamed("value", "x").join(v.withColumnRenamed("value", "y"), "resource").filter("x < y")
+    both = _true_pairs(a).select(F.col("a").alias("x"), F.col("b").alias("y"))
     return both.select(F.regexp_replace("x", r"[^ -~]", "?").alias("a"), F.regexp_replace("y", r"[^ -~]", "?").alias("b")).distinct()
 
+def _jaro_winkler(pairs):
+    return pairs.withColumn("score", F.round(X.jaro_winkler("a", "b"), 6))
+
+
+def _edit_ratio(pairs):
+    return pairs.withColumn("score", F.round(X.edit_ratio(F.col("a"), F.col("b")), 6))
+
+
+def _token_sort(pairs):
+    return pairs.withColumn("score", F.round(X.edit_ratio(X.sorted_token_text(X.word_tokens(F.lower("a"))), X.sorted_token_text(X.word_tokens(F.lower("b")))), 6))
+
+
+def _overlap(pairs):
+    j = X.jaccard(X.word_tokens(F.lower("a")), X.word_tokens(F.lower("b")))
+    return pairs.withColumn("_j", j).select("a", "b", F.round("_j", 6).alias("score"), X.overlap_band(F.col("_j")).alias("band"))
+
 
 B.add("sf16_edit_distance", f"WITH {_PAIR} SELECT a, b, CAST(levenshtein(a, b) AS INT) AS distance FROM pair")(lambda a: _pairs(a).withColumn("distance", F.levenshtein("a", "b")))
-B.add("sf17_jaro_winkler", f"WITH {_PAIR} SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS score FROM pair")(lambda a: _pairs(a).withColumn("score", F.round(X.jaro_winkler("a", "b"), 6)))
-B.add("sf17_edit_ratio", f"WITH {_PAIR} SELECT a, b, round(CASE WHEN greatest(length(a), length(b)) > 0 THEN 1 - levenshtein(a, b) / greatest(length(a), length(b)) ELSE 1 END, 6) AS score FROM pair")(lambda a: _pairs(a).withColumn("score", F.round(X.edit_ratio(F.col("a"), F.col("b")), 6)))
+B.add("sf17_jaro_winkler", f"WITH {_PAIR} SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS score FROM pair")(lambda a: _jaro_winkler(_pairs(a)))
+B.add("sf17_edit_ratio", f"WITH {_PAIR} SELECT a, b, round(CASE WHEN greatest(length(a), length(b)) > 0 THEN 1 - levenshtein(a, b) / greatest(length(a), length(b)) ELSE 1 END, 6) AS score FROM pair")(lambda a: _edit_ratio(_pairs(a)))
 B.add("sf17_token_sort", f"WITH {_PAIR}, k AS (SELECT a, b, array_to_string(list_sort({TOKS.format('lower(a)')}), ' ') AS x, array_to_string(list_sort({TOKS.format('lower(b)')}), ' ') AS y FROM pair) SELECT a, b, round(CASE WHEN greatest(length(x), length(y)) > 0 THEN 1 - levenshtein(x, y) / greatest(length(x), length(y)) ELSE 1 END, 6) AS score FROM k")(
-    lambda a: _pairs(a).withColumn("score", F.round(X.edit_ratio(X.sorted_token_text(X.word_tokens(F.lower("a"))), X.sorted_token_text(X.word_tokens(F.lower("b")))), 6))
+    lambda a: _token_sort(_pairs(a))
 )
-B.add("sf17_token_set")(lambda a: _pairs(a).withColumn("score", F.round(X.token_set_ratio(X.word_tokens(F.lower("a")), X.word_tokens(F.lower("b"))), 6)))
+B.add("sf17_token_set")(lambda a: _true_pairs(a).withColumn("score", F.round(X.token_set_ratio(X.word_tokens(F.lower("a")), X.word_tokens(F.lower("b"))), 6)))
 _JAC = "CASE WHEN len(list_distinct(list_concat(x, y))) > 0 THEN len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y))) ELSE 0 END"
 B.add("sf18_jaccard", f"WITH {_PAIR}, k AS (SELECT a, b, {TOKS.format('lower(a)')} AS x, {TOKS.format('lower(b)')} AS y FROM pair), j AS (SELECT a, b, {_JAC} AS j FROM k) SELECT a, b, round(j, 6) AS score, CASE WHEN j = 0 THEN 'none' WHEN j < 0.34 THEN 'low' WHEN j < 0.67 THEN 'middle' WHEN j < 1 THEN 'high' ELSE 'equal' END AS band FROM j")(
-    lambda a: (lambda j: _pairs(a).withColumn("_j", j).select("a", "b", F.round("_j", 6).alias("score"), X.overlap_band(F.col("_j")).alias("band")))(X.jaccard(X.word_tokens(F.lower("a")), X.word_tokens(F.lower("b"))))
+    lambda a: _overlap(_pairs(a))
 )
+B.add("sf16_edit_distance_unmasked")(lambda a: _true_pairs(a).withColumn("distance", F.levenshtein("a", "b")))
+B.add("sf17_jaro_winkler_unmasked")(lambda a: _jaro_winkler(_true_pairs(a)))
+B.add("sf17_edit_ratio_unmasked")(lambda a: _edit_ratio(_true_pairs(a)))
+B.add("sf17_token_sort_unmasked")(lambda a: _token_sort(_true_pairs(a)))
+B.add("sf18_jaccard_unmasked", f"WITH {_TRUE_PAIR}, k AS (SELECT a, b, {TOKS.format('lower(a)')} AS x, {TOKS.format('lower(b)')} AS y FROM pair), j AS (SELECT a, b, {_JAC} AS j FROM k) SELECT a, b, round(j, 6) AS score, CASE WHEN j = 0 THEN 'none' WHEN j < 0.34 THEN 'low' WHEN j < 0.67 THEN 'middle' WHEN j < 1 THEN 'high' ELSE 'equal' END AS band FROM j")(lambda a: _overlap(_true_pairs(a)))
 B.add("sf21_extracted_text", "SELECT DISTINCT value, replace(replace(replace(replace(regexp_replace(value, chr(173), '', 'g'), 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬃ', 'ffi') AS plain FROM atlas_labels")(lambda a: _values(a).withColumn("plain", X.fold_extracted("value")))
 B.add("sf22_stable_ids", "SELECT DISTINCT id, sha256(id || chr(31) || value) AS digest, substr(sha256(id), 1, 2) AS shard FROM atlas_labels")(lambda a: a.labels.select("id", X.stable_id(F.col("id"), F.col("value")).alias("digest"), X.shard_key("id").alias("shard")).distinct())
 B.add("sf23_json_lists", "SELECT event_id, try_cast(json_extract(props, '$.k') AS BIGINT) AS k, json_valid(props) AS valid FROM events")(lambda a: a.table("events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.try_parse_json("props").isNotNull().alias("valid")))

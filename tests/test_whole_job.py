@@ -2,6 +2,9 @@
 
 import __spark_entry__ as entry
 from lexmesh.operators import graph as G
+from lexmesh.plans.base import SCHEME_A, SCHEME_B
+
+SCHEMES = {"A": SCHEME_A, "B": SCHEME_B}
 
 
 def run(spark, folder, name, **tables):
@@ -22,3 +25,40 @@ def test_chain_of_any_length_is_resolved(spark):
     links = [(f"n{i}", f"n{i + 1}") for i in range(300)] + [(f"c{i}", f"c{(i + 1) % 5}") for i in range(5)] + [("t", "c0"), ("u", "f"), ("f", "p"), ("f", "q")]
     got = {r.start: (r.sink, r.steps, r.outcome) for r in G.follow_chain(spark.createDataFrame(links, "a string, b string")).collect()}
     assert got == {f"n{i}": ("n300", 300 - i, "resolved") for i in range(300)} | {x: (None, None, "cycle") for x in ("c0", "c1", "c2", "c3", "c4", "t")} | {"u": ("f", 1, "branch")}
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+#: Labels of equal length outside ASCII, accents against other accents, and one equal pair.
+WORDS = {"A": ["αλφα", "été", "Ｗide", "мост", "naïve"], "B": ["βητα", "ète", "Ｗide", "мясо", "naive", "лист"]}
+
+
+def labelled(spark):
+    rows = [(f"{side}{i}", SCHEMES[side], None, "r", w) for side, words in WORDS.items() for i, w in enumerate(words)]
+    res = spark.createDataFrame([(i, s, d, r, []) for i, s, d, r, _ in rows], "id string, scheme string, definition string, release string, notations array<string>")
+    more = [("A0", "ωμεγα"), ("A3", "моет")]
+    lab = spark.createDataFrame([(f"l{n}", i, "preferred", w, "en", "r") for n, (i, _, _, _, w) in enumerate(rows)] + [(f"m{n}", i, "alternate", w, "en", "r") for n, (i, w) in enumerate(more)], "id string, resource string, label_role string, value string, language string, release string")
+    sta = spark.createDataFrame([], "subject string, predicate string, object string")
+    return {"atlas_resources": res, "atlas_labels": lab, "atlas_statements": sta}
+
+
+def test_labels_outside_ascii_stay_themselves(spark, tmp_path):
+    tables = labelled(spark)
+    near = {(f"A{i}", f"B{j}", d) for i, x in enumerate(WORDS["A"]) for j, y in enumerate(WORDS["B"]) if 1 <= (d := edits(x.lower(), y.lower())) <= 2}
+    assert ("A1", "B1", 2) in near and ("A0", "B0") not in {n[:2] for n in near}
+    assert {tuple(r) for r in run(spark, tmp_path, "jn19_near_in_edits_unmasked", **tables).select("source", "target", "distance").collect()} == near
+    found = {(r.source, r.target): r.generation_class for r in run(spark, tmp_path, "cg7_candidate_classes_unmasked").collect()}
+    assert found == {("A2", "B2"): "normalizedLabelEquality"} | {(a, b): "editDistanceNearMiss" for a, b, _ in near}
+    assert {(r["class"], r.n) for r in run(spark, tmp_path, "wn12_class_counts_unmasked").collect()} == {(0, 1)}
+    pairs = {tuple(sorted(p)) for p in (("αλφα", "ωμεγα"), ("мост", "моет"))}
+    got = {(r.a, r.b): r.distance for r in run(spark, tmp_path, "sf16_edit_distance_unmasked").collect()}
+    assert got == {p: edits(*p) for p in pairs}
+    for name in ("sf17_token_set", "sf17_jaro_winkler_unmasked", "sf17_edit_ratio_unmasked", "sf17_token_sort_unmasked", "sf18_jaccard_unmasked", "sf15_variant_classes_unmasked", "sf20_challenge_classes_unmasked"):
+        assert {(r.a, r.b) for r in run(spark, tmp_path, name).collect()} == pairs
