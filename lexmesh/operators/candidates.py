@@ -127,27 +127,45 @@ def text_features(texts: DataFrame, grams: tuple[int, ...] = (3, 4)) -> DataFram
     """(member, feature, value) of texts (member, value, weight): words, bigrams, the phrase and character n-grams.
 
     Repeats within one text count up to TERM_CAP; a text with equal weight counts once a
-    member. All kinds of features leave one row in one pass.
+    member, or once for each ``origin`` where texts have that column. All kinds of
+    features leave one row in one pass.
     """
+    key = ["member", "value", "weight", *(["origin"] if "origin" in texts.columns else [])]
     toks = word_tokens(fold_plain("value"))
-    base = texts.select("member", "value", "weight").distinct().select("member", "value", "weight", toks.alias("toks"), F.array_join(toks, " ").alias("phrase")).filter(F.size("toks") > 0)
+    base = texts.select(*key).distinct().select(*key, toks.alias("toks"), F.array_join(toks, " ").alias("phrase")).filter(F.size("toks") > 0)
 
     def kind(name: str, values: Column, times: int, capped: bool) -> Column:
         return F.transform(values, lambda v: F.struct(F.concat(F.lit(f"{name}:"), v).alias("f"), F.lit(times).alias("m"), F.lit(capped).alias("cap")))
 
     every = F.concat(kind("word", F.col("toks"), 1, True), kind("bigram", bigrams("toks"), 1, False), kind("phrase", F.array("phrase"), 2, False), *[kind(f"char{g}", char_ngrams("phrase", g), 1, True) for g in grams])
-    flat = base.select("member", "value", "weight", F.explode(every).alias("e"))
-    n = flat.groupBy("member", "value", "weight", F.col("e.f").alias("feature"), F.col("e.m").alias("m"), F.col("e.cap").alias("cap")).agg(F.count(F.lit(1)).alias("n"))
+    flat = base.select(*key, F.explode(every).alias("e"))
+    n = flat.groupBy(*key, F.col("e.f").alias("feature"), F.col("e.m").alias("m"), F.col("e.cap").alias("cap")).agg(F.count(F.lit(1)).alias("n"))
     count = F.when(F.col("cap"), F.least("n", F.lit(TERM_CAP))).otherwise(F.col("n"))
     return n.groupBy("member", "feature").agg(F.sum(count * F.col("weight") * F.col("m")).alias("value"))
 
 
-def concept_features(found: DataFrame, labels: DataFrame, weights: dict[str, int], grams: tuple[int, ...] = (3, 4)) -> DataFrame:
-    """(member, feature, value) summed over preferred and alternate labels, identifier words and definition."""
-    alts = labels.filter(english("language")).select(F.col("resource").alias("member"), "value").distinct().join(found.select("member", "pref"), "member").filter("value <> pref")
-    fields = [("preferred", found, F.col("pref")), ("alternate", alts, F.col("value")), ("identifier", found, identifier_tail("member")), ("definition", found, F.col("definition"))]
-    texts = reduce(DataFrame.unionByName, [d.select("member", c.alias("value"), F.lit(weights[n]).alias("weight")) for n, d, c in fields if weights.get(n)])
-    return text_features(texts.filter("value IS NOT NULL"), grams)
+def concept_features(found: DataFrame, labels: DataFrame, weights: dict[str, int], grams: tuple[int, ...] = (3, 4), notes: DataFrame | None = None, broader: DataFrame | None = None) -> DataFrame:
+    """(member, feature, value) summed over preferred and alternate labels, identifier words, definition, scope notes, parents and children.
+
+    notes (member, value) hold scope notes; broader (a, b) points from child to parent.
+    Fields without weight are left out. Each parent and child gives its preferred label
+    and, at half the weight but at least 1, its alternate labels.
+    """
+    if (weights.get("scope") and notes is None) or ((weights.get("parent") or weights.get("child")) and broader is None):
+        raise ValueError("a field has a weight but no table")
+    shown = display_labels(labels).select(F.col("resource").alias("member"), F.col("label").alias("pref"))
+    others = lambda own: labels.filter(english("language")).select(F.col("resource").alias("member"), "value").distinct().join(own.select("member", "pref"), "member").filter("value <> pref").select("member", "value")
+    fields = [("preferred", found, F.col("pref")), ("alternate", others(found), F.col("value")), ("identifier", found, identifier_tail("member")), ("definition", found, F.col("definition"))]
+    if notes is not None:
+        fields.append(("scope", notes.join(found.select("member"), "member", "left_semi"), F.col("value")))
+    texts = [d.select("member", c.alias("value"), F.lit(weights[n]).alias("weight"), F.lit(n).alias("origin")) for n, d, c in fields if weights.get(n)]
+    for name, near, far in (("parent", "a", "b"), ("child", "b", "a")):
+        if weights.get(name):
+            ends = broader.select(F.col(near).alias("_m"), F.col(far).alias("member")).distinct().join(found.select(F.col("member").alias("_m")), "_m", "left_semi")
+            origin = F.concat(F.lit(f"{name}:"), "member").alias("origin")
+            texts.append(ends.join(shown, "member").select(F.col("_m").alias("member"), F.col("pref").alias("value"), F.lit(weights[name]).alias("weight"), origin))
+            texts.append(ends.join(others(shown), "member").select(F.col("_m").alias("member"), "value", F.lit(max(1, weights[name] // 2)).alias("weight"), origin))
+    return text_features(reduce(DataFrame.unionByName, texts).filter("value IS NOT NULL"), grams)
 
 
 def weighted(s: DataFrame, t: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,8 @@
 """Queries that once did part of their job, on small tables where the missing part shows."""
 
+from collections import Counter
+from itertools import pairwise
+
 import __spark_entry__ as entry
 from lexmesh.operators import graph as G
 from lexmesh.plans.base import SCHEME_A, SCHEME_B
@@ -62,3 +65,39 @@ def test_labels_outside_ascii_stay_themselves(spark, tmp_path):
     assert got == {p: edits(*p) for p in pairs}
     for name in ("sf17_token_set", "sf17_jaro_winkler_unmasked", "sf17_edit_ratio_unmasked", "sf17_token_sort_unmasked", "sf18_jaccard_unmasked", "sf15_variant_classes_unmasked", "sf20_challenge_classes_unmasked"):
         assert {(r.a, r.b) for r in run(spark, tmp_path, name).collect()} == pairs
+
+
+def test_features_of_all_fields(spark, tmp_path):
+    concepts = {"urn:a:tide-gauge": ("Tide Gauge", ["tide tide tide tide meter"], "a gauge", ["used at sea"]), "urn:a:device": ("Device", ["tool"], None, []), "urn:a:other": ("Device", [], None, []), "urn:a:buoy": ("Buoy", ["float"], None, [])}
+    up = [("urn:a:tide-gauge", "urn:a:device"), ("urn:a:tide-gauge", "urn:a:other"), ("urn:a:buoy", "urn:a:tide-gauge")]
+    res = spark.createDataFrame([(i, SCHEME_A, d, n) for i, (_, _, d, n) in concepts.items()] + [("urn:b:sea", SCHEME_B, None, [])], "id string, scheme string, definition string, notes array<string>")
+    said = [(i, r, v) for i, (p, alts, _, _) in concepts.items() for r, v in [("preferred", p), *[("alternate", x) for x in alts]]] + [("urn:b:sea", "preferred", "zzz sea")]
+    tables = {"atlas_resources": res, "atlas_labels": spark.createDataFrame([(f"l{n}", *x, "en") for n, x in enumerate(said)], "id string, resource string, label_role string, value string, language string")}
+    tables["atlas_statements"] = spark.createDataFrame([(a, "skos:broader", b) for a, b in up], "subject string, predicate string, object string")
+
+    want = Counter()
+
+    def add(text, weight):
+        words = text.lower().split() if text else []
+        phrase = " ".join(words)
+        for name, seen, times, cap in (("word:", words, 1, 3), ("bigram:", [f"{x} {y}" for x, y in pairwise(words)], 1, 99), ("phrase:", [phrase] if words else [], 2, 99), *[(f"char{g}:", [f"  {phrase}  "[i : i + g] for i in range(len(phrase) + 5 - g)] if words else [], 1, 3) for g in (3, 4)]):
+            for k, n in Counter(seen).items():
+                want[name + k] += weight * times * min(n, cap)
+
+    def context(i, weight):
+        add(concepts[i][0], weight)
+        for alt in concepts[i][1]:
+            add(alt, weight // 2)
+
+    add("Tide Gauge", 12)
+    add("tide tide tide tide meter", 9)
+    add("tide gauge", 7)
+    add("a gauge", 2)
+    add("used at sea", 3)
+    for parent in ("urn:a:device", "urn:a:other"):
+        context(parent, 5)
+    context("urn:a:buoy", 5)
+    got = {r.feature: r.value for r in run(spark, tmp_path, "cg1_features_all_fields", **tables).collect() if r.member == "urn:a:tide-gauge"}
+    assert got == dict(want)
+    # a scope note is all that the sides share
+    assert ("urn:a:tide-gauge", "urn:b:sea") in {(r.source, r.target) for r in run(spark, tmp_path, "cg3_sparse_scores_all_fields").collect()}
