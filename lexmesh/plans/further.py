@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from lexmesh import rules
@@ -38,6 +40,27 @@ B.add("jn23_graph_paths", f"SELECT path, count(*) AS n FROM ({MATCHING['cg6_grap
 B.add("cg14_fuzzy_ranks", f"WITH {_PAIR}, s AS (SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS score FROM pair) SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS rank FROM s WHERE score > 0 QUALIFY rank <= 3")(
     lambda a: C.top_k(_pairs(a).select(F.col("a").alias("source"), F.col("b").alias("target"), F.round(X.jaro_winkler("a", "b"), 6).alias("score")), 3).select(F.col("source").alias("a"), F.col("target").alias("b"), "rank")
 )
+#: One source and target in so many are queries, each ranked against all of the other side.
+_EVERY = 8
+
+
+def _fuzzy_ranks(a: Atlas):
+    """(scorer, source, target, source_rank, target_rank): a stated query set of either side against the whole other side, the best three by each scorer."""
+    s, t = (materialize(d.select("member", X.fold_plain("pref").alias("label"))) for d in _sides(a))
+    asked = lambda d: d.filter(F.conv(F.substring(F.md5("member"), 1, 4), 16, 10).cast("int") % _EVERY == 0)
+    tokens = lambda c: X.word_tokens(F.col(c))
+    scorers = {"jaro_winkler": X.jaro_winkler("x", "y"), "edit_ratio": X.edit_ratio(F.col("x"), F.col("y")), "token_sort": X.edit_ratio(X.sorted_token_text(tokens("x")), X.sorted_token_text(tokens("y"))), "token_set": X.token_set_ratio(tokens("x"), tokens("y"))}
+
+    def ranked(left, right, by, other, name):
+        pairs = left.select(F.col("member").alias("source"), F.col("label").alias("x")).crossJoin(right.select(F.col("member").alias("target"), F.col("label").alias("y")))
+        scores = materialize(pairs.select("source", "target", *[F.round(c, 6).alias(n) for n, c in scorers.items()]))
+        out = [C.top_k(scores.select("source", "target", F.col(n).alias("score")), 3, by, other, positive=False).select(F.lit(n).alias("scorer"), "source", "target", F.col("rank").alias(name)) for n in scorers]
+        return reduce(lambda x, y: x.unionByName(y), out)
+
+    return ranked(asked(s), t, "source", "target", "source_rank").join(ranked(s, asked(t), "target", "source", "target_rank"), ["scorer", "source", "target"], "full")
+
+
+B.add("cg14_fuzzy_ranks_both_sides")(_fuzzy_ranks)
 B.add("cg17_class_costs", f"SELECT generation_class, count(*) AS n FROM ({MATCHING['cg7_candidate_classes']}) GROUP BY 1")(lambda a: _classes(a).groupBy("generation_class").agg(F.count(F.lit(1)).alias("n")))
 B.add("cg17_class_costs_unmasked")(lambda a: _classes(a, "_unmasked").groupBy("generation_class").agg(F.count(F.lit(1)).alias("n")))
 

@@ -1,6 +1,7 @@
 """Queries that once did part of their job, on small tables where the missing part shows."""
 
 from collections import Counter
+from hashlib import md5
 from itertools import pairwise
 
 import __spark_entry__ as entry
@@ -101,3 +102,23 @@ def test_features_of_all_fields(spark, tmp_path):
     assert got == dict(want)
     # a scope note is all that the sides share
     assert ("urn:a:tide-gauge", "urn:b:sea") in {(r.source, r.target) for r in run(spark, tmp_path, "cg3_sparse_scores_all_fields").collect()}
+
+
+def test_fuzzy_ranks_cross_both_sides(spark, tmp_path):
+    def text(w):
+        return " ".join(w.lower().split())
+
+    sides = {"A": {f"A{i:02d}": w for i, w in enumerate(["tide gauge", "river", "sea level", "wave", "météo"] * 6)}, "B": {f"B{i:02d}": w for i, w in enumerate(["tidal gauge", "rivers", "level of sea", "meteo"] * 6)}}
+    every = [(i, SCHEMES[k], None, w) for k, m in sides.items() for i, w in m.items()]
+    tables = {"atlas_resources": spark.createDataFrame([x[:3] for x in every], "id string, scheme string, definition string"), "atlas_labels": spark.createDataFrame([(i, i, "preferred", w, "en") for i, _, _, w in every], "id string, resource string, label_role string, value string, language string")}
+    got = run(spark, tmp_path, "cg14_fuzzy_ranks_both_sides", **tables).collect()
+    assert {r.scorer for r in got} == {"jaro_winkler", "edit_ratio", "token_sort", "token_set"}
+    asked = {i for i, *_ in every if int(md5(i.encode()).hexdigest()[:4], 16) % 8 == 0}
+    ratio = lambda x, y: round(1 - edits(text(x), text(y)) / max(len(x), len(y)), 6)
+    want = {}
+    for at, (mine, theirs) in enumerate((("A", "B"), ("B", "A"))):
+        for q in asked & set(sides[mine]):
+            for rank, o in enumerate(sorted(sides[theirs], key=lambda o: (-ratio(sides[mine][q], sides[theirs][o]), o))[:3], 1):
+                want.setdefault((q, o) if mine == "A" else (o, q), [None, None])[at] = rank
+    assert asked & set(sides["A"]) and asked & set(sides["B"])
+    assert {(r.source, r.target): [r.source_rank, r.target_rank] for r in got if r.scorer == "edit_ratio"} == want
