@@ -44,7 +44,7 @@ def from_claims(claims: DataFrame, membership: str, excluded: tuple[str, ...] =
         wide = wide.filter(~F.col("id").isin(*excluded))
     return wide.select(
         "id", "scheme", F.get("_p", F.lit(0)).alias("preferred"), F.array_join("_a", "|").alias("alternates"), F.array_join("_n", "|").alias("notations"),
-        F.get("_d", F.lit(0)).alias("definition"), F.array_join(F.array_sort(F.concat("_o", F.slice("_d", 2, 1000))), "|").alias("notes"),
+        F.get("_d", F.lit(0)).alias("definition"), F.array_join(F.array_sort(F.concat("_o", F.slice("_d", F.lit(2), F.greatest(F.size("_d"), F.lit(1))))), "|").alias("notes"),
     )
 
 

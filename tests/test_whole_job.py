@@ -5,6 +5,7 @@ from hashlib import md5
 from itertools import pairwise
 
 import __spark_entry__ as entry
+from lexmesh.operators import claims as K
 from lexmesh.operators import graph as G
 from lexmesh.plans.base import SCHEME_A, SCHEME_B
 
@@ -122,3 +123,10 @@ def test_fuzzy_ranks_cross_both_sides(spark, tmp_path):
                 want.setdefault((q, o) if mine == "A" else (o, q), [None, None])[at] = rank
     assert asked & set(sides["A"]) and asked & set(sides["B"])
     assert {(r.source, r.target): [r.source_rank, r.target_rank] for r in got if r.scorer == "edit_ratio"} == want
+
+
+def test_all_definitions_of_a_claim_are_kept(spark):
+    claims = spark.createDataFrame([("s", "member", "x", None)] + [("s", "definition", f"d{i:04d}", "en") for i in range(1205)] + [("t", "member", "x", None)], "subject string, predicate string, value string, language string")
+    got = {r.id: r for r in K.from_claims(claims, "member").collect()}
+    assert (got["s"].definition, got["s"].notes.split("|")) == ("d0000", [f"d{i:04d}" for i in range(1, 1205)])
+    assert (got["t"].definition, got["t"].notes) == (None, "")
