@@ -373,7 +373,8 @@ def auction(edges: DataFrame, step: float = 1e-3, max_rounds: int = 500) -> Data
 
     Each round every free left end bids for its best right end by the margin to its
     second best; a right end goes to its highest bidder. Only ends with positive
-    profit bid, so the rounds end.
+    profit bid, so the rounds end. If they have not after ``max_rounds``, that is an
+    error: what is owned by then is no assignment of the kind promised.
     """
     edges = materialize(edges)
     price = edges.select("r").distinct().withColumn("p", F.lit(0.0)).withColumn("owner", F.lit(None).cast("string"))
@@ -388,6 +389,8 @@ def auction(edges: DataFrame, step: float = 1e-3, max_rounds: int = 500) -> Data
         if won.isEmpty():
             break
         price = materialize(price.join(won, "r", "left").select("r", (F.col("p") + F.coalesce("up", F.lit(0.0))).alias("p"), F.coalesce("new", "owner").alias("owner")))
+    else:
+        raise RuntimeError(f"bids are left after {max_rounds} rounds of the auction")
     return edges.join(price.filter("owner IS NOT NULL").select("r", F.col("owner").alias("l")), ["l", "r"])
 
 
