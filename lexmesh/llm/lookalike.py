@@ -143,13 +143,36 @@ def rewrite(text: str, auto) -> str:
 
 
 
+class PlainForms:
+    """Forms for comparing texts without corpus counts: the smallest member of a class stands.
+
+    The automaton knows the code points met so far and is built anew only when others
+    turn up, so a worker builds it a bounded number of times. What stands for a class
+    does not depend on the texts seen before.
+    """
+
+    def __init__(self) -> None:
+        self.known: set[str] = set()
+        self.auto = None
+
+    def of(self, text: str | None) -> str:
+        if not text:
+            return ""
+        if text.isascii() and text.isprintable():
+            return " ".join(text.split())
+        marks = set(unicodedata.normalize("NFD", text))
+        if not marks <= self.known:
+            self.known |= marks
+            self.auto = automaton(representatives(look_alike_classes(self.known), Counter()))
+        return rewrite(text, self.auto)
+
+
+_FORMS = PlainForms()
+
+
 def plain_form(text: str | None) -> str:
-    """A form for comparing labels of any language, with the smallest member as representative; for callers without corpus counts."""
-    if not text:
-        return ""
-    if text.isascii() and text.isprintable():
-        return " ".join(text.split())
-    return rewrite(text, automaton(representatives(look_alike_classes(unicodedata.normalize("NFD", text)), Counter())))
+    """A form for comparing labels of any language; one automaton serves a whole worker."""
+    return _FORMS.of(text)
 
 
 def primary_language(language: Column) -> Column:

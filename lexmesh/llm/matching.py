@@ -1,20 +1,20 @@
 """Matching entities across sources without keys (problem 7).
 
 Records are sorted by several composite keys and compared within a sliding window.
-Field similarities are weighed by how much more often they occur among sure matches
-than among sure differences; pairs get a confidence, and a one-to-one assignment of
-greatest total confidence is kept.
+How much a field's agreement says is learned from the candidate pairs themselves by
+a two-class mixture over their agreement patterns; pairs get a confidence, and a
+one-to-one assignment of greatest total confidence is kept.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lexmesh.functions.keys import strip_key
 from lexmesh.llm.groups import group_pairs
 from lexmesh.llm.lookalike import plain_form
+from lexmesh.operators.ranks import with_rank
 from lexmesh.storage import materialize
 
 #: Words in more than this share of records describe, rarer ones name.
@@ -30,12 +31,11 @@ COMMON_SHARE = 0.004
 WINDOW = 8
 #: Rows of a sort order compared in one task.
 TASK_ROWS = 20_000
-#: Largest side of a group of rivals assigned within one task; larger ones are auctioned across tasks.
-GROUP_SIDE = 300
+#: Pairs of one group of rivals that a task assigns (about 500 MB); larger groups are auctioned across tasks.
+GROUP_PAIRS = 5_000_000
 
 _WORD = re.compile(r"[^\W_]+")
-_YEAR = re.compile(r"1[5-9]\d\d|20\d\d")
-_RECORD = "id string, source string, places array<string>, years array<string>, names array<string>, said array<int>, called array<int>"
+_RECORD = "id string, source string, terms array<string>, numbers array<string>, names array<string>, said array<int>, called array<int>"
 
 
 def words(text: str | None) -> list[str]:
@@ -127,9 +127,18 @@ def common_words(records: DataFrame, field: str, n: int) -> dict[str, int]:
     return {r["w"]: r["n"] for r in counts.collect()}
 
 
+def _descriptive(said: dict[str, int]) -> list[str]:
+    """The common words of definitions that are no numbers; numbers are compared as they are, however common."""
+    return sorted(w for w in said if not _numeric(w))
+
+
+def _numeric(word: str) -> bool:
+    return any(x.isdigit() for x in word)
+
+
 def _split(said: dict[str, int], called: dict[str, int]):
-    """Words to fields: places and years of the definition, the naming words of labels, codes of the common words."""
-    code_said = {w: i for i, w in enumerate(sorted(w for w in said if not _YEAR.fullmatch(w)))}
+    """Words to fields: rare words and numbers of the definition, rare words of labels, codes of the common words."""
+    code_said = {w: i for i, w in enumerate(_descriptive(said))}
     code_called = {w: i for i, w in enumerate(sorted(called))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,95 +146,86 @@ def _split(said: dict[str, int], called: dict[str, int]):
         for batch in batches:
             rows = []
             for s, c in zip(batch.column("said").to_pylist(), batch.column("called").to_pylist(), strict=True):
-                years = [w for w in s if _YEAR.fullmatch(w)]
-                places = [w for w in s if w not in code_said and not any(x.isdigit() for x in w) and len(w) > 2]
-                names = [w for w in c if w not in code_called and not any(x.isdigit() for x in w) and len(w) > 2]
-                rows.append((places, years, names, [code_said[w] for w in s if w in code_said], [code_called[w] for w in c if w in code_called]))
+                numbers = [w for w in s if _numeric(w)]
+                terms = [w for w in s if w not in code_said and not _numeric(w)]
+                names = [w for w in c if w not in code_called]
+                rows.append((terms, numbers, names, [code_said[w] for w in s if w in code_said], [code_called[w] for w in c if w in code_called]))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.record_batch([batch.column("id"), batch.column("source"), pa.array(cols[0], strings), pa.array(cols[1], strings), pa.array(cols[2], strings), pa.array(cols[3], ints), pa.array(cols[4], ints)], names=["id", "source", "places", "years", "names", "said", "called"])
+            yield pa.record_batch([batch.column("id"), batch.column("source"), pa.array(cols[0], strings), pa.array(cols[1], strings), pa.array(cols[2], strings), pa.array(cols[3], ints), pa.array(cols[4], ints)], names=["id", "source", "terms", "numbers", "names", "said", "called"])
 
     return run
 
 
 def sort_rows(records: DataFrame) -> DataFrame:
-    """Records once per order and value, with a composite key: place, place from its end, name, name from its end, each with what else is known."""
-    rest = F.concat_ws(" ", F.array_join("years", " "), F.array_join("names", " "), F.array_join("places", " "))
+    """Records once per order and value, with a composite key: rare word of the definition and the same read
+    backwards, name and the same backwards, each with what else is known; and all that is known at once.
+
+    The last order has every record with a word, so none stays without neighbours.
+    """
+    rest = F.concat_ws(" ", F.array_join("numbers", " "), F.array_join("names", " "), F.array_join("terms", " "))
+    codes = lambda c: F.array_join(F.transform(c, lambda x: F.lpad(x.cast("string"), 6, "0")), " ")
     part = records.withColumn("_rest", rest)
     orders = []
-    for order, (field, back) in enumerate([("places", False), ("places", True), ("names", False), ("names", True)]):
-        value = F.explode(field)
-        rows = part.select(F.lit(order).alias("order"), value.alias("_w"), "*")
+    for order, (field, back) in enumerate([("terms", False), ("terms", True), ("names", False), ("names", True)]):
+        rows = part.select(F.lit(order).alias("order"), F.explode(field).alias("_w"), "*")
         orders.append(rows.withColumn("key", F.concat_ws("\x01", F.reverse("_w") if back else F.col("_w"), "_rest")).drop("_w", "_rest"))
+    whole = part.select(F.lit(len(orders)).alias("order"), "*").withColumn("key", F.concat_ws("\x01", codes("said"), codes("called"), "_rest")).drop("_rest")
     out = orders[0]
-    for rows in orders[1:]:
+    for rows in [*orders[1:], whole.filter(F.size("said") + F.size("called") + F.size("numbers") + F.size("names") + F.size("terms") > 0)]:
         out = out.unionByName(rows)
     return out
 
 
-def window_pairs(rows: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Candidate pairs of different sources within ``window`` places of an order that are near in place or name.
+#: Values of the compared fields: nothing said on a side, equal, nearly equal, different; numbers are equal or different.
+SILENT, EQUAL, NEAR, DIFFERENT = range(4)
+_CODED = "source_1 string, source_2 string, terms int, numbers int, names int"
 
-    Rows get their exact rank over all partitions; blocks of ``task_rows`` ranks with
-    the next ``window`` ranks repeated are compared apart, so no pair is lost between
-    tasks and no task holds a whole order.
-    """
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def window_pairs(rows: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
+    """All pairs of different sources within ``window`` places of an order, with their fields compared.
 
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.num_rows
-            yield pa.record_batch([*batch.columns, pa.array(np.full(n, part, dtype=np.int32)), pa.array(np.arange(at, at + n))], names=[*batch.schema.names, "part", "idx"])
-            at += n
-
-    schema = f"order int, {_RECORD}, key string"
-    cols = ["order", "id", "source", "places", "years", "names", "said", "called", "key"]
-    ranked = rows.select(*cols).repartitionByRange(F.col("order"), F.col("key"), F.col("id")).sortWithinPartitions("order", "key", "id").mapInArrow(number, f"{schema}, part int, idx long")
-    ranked = materialize(ranked.drop("key"))
-    before = {}
-    total = 0
-    for r in ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():  # one row a partition
-        before[r["part"]] = total
-        total += r["n"]
-    if not total:
-        return ranked.select(F.col("id").alias("id_1"), F.col("id").alias("id_2"), F.lit("").alias("sources"), F.lit(0).alias("place"), F.lit(0).alias("year"), F.lit(0).alias("name"), F.col("said").alias("said_1"), F.col("said").alias("said_2"), F.col("called").alias("called_1"), F.col("called").alias("called_2"))
-    spark = rows.sparkSession
-    shift = spark.createDataFrame(list(before.items()), "part int, before long")
-    placed = ranked.join(F.broadcast(shift), "part").withColumn("rank", F.col("idx") + F.col("before")).drop("part", "idx", "before")
+    Pairs that are near in a rare word or a name carry their common words (said_1,
+    said_2, called_1, called_2); the others have nulls there. Rows get their exact rank
+    over all partitions; blocks of ``task_rows`` ranks with the next ``window`` ranks
+    repeated are compared apart, so no pair is lost between tasks and no task holds a
+    whole order.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+    arrow = pa.int64() if kind == "bigint" else pa.string()
+    cols = ["order", "id", "source", "terms", "numbers", "names", "said", "called", "key"]
+    placed = with_rank(rows.select(*cols), ["order", "key", "id"], "rank").drop("key")
+    total = placed.count()
+    words_of = ["said_1", "said_2", "called_1", "called_2"]
+    result = f"id_1 {kind}, id_2 {kind}, {_CODED}, " + ", ".join(f"{c} array<int>" for c in words_of)
     block = F.floor(F.col("rank") / task_rows)
     again = F.when((F.col("rank") % task_rows < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
     placed = placed.withColumn("block", F.explode(again))
-    blocks = -(-total // task_rows)
-    names = ["order", "id", "source", "places", "years", "names", "said", "called", "rank", "block"]
+    blocks = max(1, -(-total // task_rows))
+    names = ["order", "id", "source", "terms", "numbers", "names", "said", "called", "rank", "block"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: list[tuple] = []
         for batch in batches:
             out = []
             for row in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
-                order, ident, source, places, years, called, *_, rank, own = row
+                order, ident, source, terms, numbers, called, *_, rank, own = row
                 keep = own * task_rows <= rank
                 recent = [r for r in recent if r[9] == own and rank - r[8] <= window]
                 for r in recent:
                     # a pair belongs to the block of its earlier row
                     if r[0] != order or r[2] == source or r[1] == ident or r[8] >= (own + 1) * task_rows:
                         continue
-                    place, name = nearness(r[3], places, 1), nearness(r[5], called, 2)
-                    if not (1 <= place <= 2 or 1 <= name <= 2):
-                        continue
-                    year = 0 if not years or not r[4] else (1 if set(years) & set(r[4]) else 3)
+                    term, name = nearness(r[3], terms, 1), nearness(r[5], called, 2)
+                    number = SILENT if not numbers or not r[4] else (EQUAL if not set(numbers).isdisjoint(r[4]) else DIFFERENT)
                     a, b = (r, row) if r[1] < ident else (row, r)
-                    s, t = sorted([r[2], source])
-                    out.append((a[1], b[1], f"{s}\x01{t}", place, year, name, a[6], b[6], a[7], b[7]))
+                    close = EQUAL <= term <= NEAR or EQUAL <= name <= NEAR
+                    out.append((a[1], b[1], a[2], b[2], term, number, name, *((a[6], b[6], a[7], b[7]) if close else (None,) * 4)))
                 if keep:
                     recent.append(row)
-            cols = list(zip(*out, strict=True)) if out else [[]] * 10
-            ints = pa.list_(pa.int32())
-            kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), ints, ints, ints, ints]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id_1", "id_2", "sources", "place", "year", "name", "said_1", "said_2", "called_1", "called_2"])
+            cols = list(zip(*out, strict=True)) if out else [[]] * 11
+            kinds = [arrow, arrow, pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.list_(pa.int32())] * 4]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id_1", "id_2", "source_1", "source_2", "terms", "numbers", "names", *words_of])
 
-    result = "id_1 string, id_2 string, sources string, place int, year int, name int, said_1 array<int>, said_2 array<int>, called_1 array<int>, called_2 array<int>"
     pairs = placed.select(*names).repartition(min(blocks, 2000), "block").sortWithinPartitions("block", "rank").mapInArrow(compare, result)
     return pairs.dropDuplicates(["id_1", "id_2"])
 
@@ -273,46 +273,126 @@ def _bin(v: np.ndarray) -> np.ndarray:
     return np.where(v < 0, 0, np.searchsorted(_BINS, v, side="right"))
 
 
-#: Log-odds of place, year and name: nothing said, equal, nearly equal, different. Names weigh little
-#: since candidates are chosen by them and equal names are common among different things.
-PLACE_WEIGHT = (0.0, 7.0, 1.5, -5.0)
-YEAR_WEIGHT = (0.0, 4.0, 4.0, -6.0)
-NAME_WEIGHT = (0.0, 2.0, 1.2, -2.5)
-#: Log-odds of a candidate pair before anything is compared.
+#: The compared fields, with the number of values each can have; 0 is always "nothing said".
+FIELDS = {"terms": 4, "numbers": 4, "names": 4, "said": len(_BINS) + 1, "called": len(_BINS) + 1}
+#: Log-odds from which learning starts, and which stand where too few pairs were seen to learn from.
+START = {
+    "terms": (0.0, 6.0, 1.5, -5.0), "numbers": (0.0, 4.0, 0.0, -6.0), "names": (0.0, 2.0, 1.2, -2.5),
+    "said": (0.0, *np.linspace(-3, 3, len(_BINS))), "called": (0.0, *np.linspace(-1.2, 1.2, len(_BINS))),
+}
+#: Log-odds of a candidate pair before anything is compared, to start from.
 PRIOR = -0.5
+#: Candidate pairs from which weights are learned at all.
+LEARN_FROM = 400
+
+
+def rising(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The closest sequence that never falls, by pooling neighbours out of order."""
+    pools: list[list[float]] = []
+    for v, w in zip(values.tolist(), weights.tolist(), strict=True):
+        pools.append([v, w, 1])
+        while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
+            (a, x, m), (b, y, n) = pools[-2:]
+            pools[-2:] = [[(a * x + b * y) / (x + y), x + y, m + n]]
+    return np.repeat([v for v, _, _ in pools], [int(n) for *_, n in pools])
 
 
-def score_pairs(pairs: DataFrame, said: dict[str, int], called: dict[str, int], n: int) -> DataFrame:
-    """(id_1, id_2, sources, confidence) of candidate pairs.
+def learn_weights(patterns: dict[tuple[int, ...], float], tolerance: float = 1e-6, most: int = 1000) -> tuple[float, dict[str, list[float]]]:
+    """(prior, log-odds by field and value) of a mixture of matches and others over agreement patterns.
 
-    Sure matches agree in place and year, sure differences differ in both. From them
-    come the words that stand for each other, and the log-odds of definition and label
-    agreement. With too few of either, fixed log-odds serve.
+    Expectation and maximisation in turn from START until the likelihood stands still
+    (an error after ``most`` rounds): fields agree independently within either class,
+    and a field on which a side is silent says nothing. More agreement never counts
+    less: values out of order share their weight. Patterns number at most the product
+    of FIELDS.
+    """
+    keys = np.array(sorted(patterns), dtype=int).reshape(-1, len(FIELDS))
+    n = np.array([patterns[tuple(k)] for k in keys.tolist()], dtype=float)
+    weights = {f: np.array(v, dtype=float) for f, v in START.items()}
+    prior, last = PRIOR, -np.inf
+    if n.sum() < LEARN_FROM:
+        return prior, {f: w.tolist() for f, w in weights.items()}
+    for _ in range(most):
+        score = prior + sum(weights[f][keys[:, i]] for i, f in enumerate(FIELDS))
+        match = 1 / (1 + np.exp(-score))
+        yes, no = n * match, n * (1 - match)
+        prior = math.log((yes.sum() + 1) / (no.sum() + 1))
+        gain = 0.0
+        for i, (f, size) in enumerate(FIELDS.items()):
+            p, q = (np.bincount(keys[:, i], weights=w, minlength=size)[1:] for w in (yes, no))
+            shared = (p + q + 1) / (p + q + 1).sum()
+            p, q = p / max(p.sum(), 1) + 2 * shared / max(p.sum(), 1), q / max(q.sum(), 1) + 2 * shared / max(q.sum(), 1)
+            both = p + q
+            # the three kinds count down from equal to different, grades count up
+            p = (rising(p / both, both) if size > 4 else rising((p / both)[::-1], both[::-1])[::-1]) * both
+            q = both - p
+            p, q = p / p.sum(), q / q.sum()
+            weights[f] = np.r_[0.0, np.log(p / q)]
+            seen = keys[:, i] > 0
+            at = keys[seen, i] - 1
+            gain += float((yes[seen] * np.log(p[at])).sum() + (no[seen] * np.log(q[at])).sum())
+        if abs(gain - last) <= tolerance * abs(gain):
+            break
+        last = gain
+    else:
+        raise RuntimeError(f"the weights of matching still move after {most} rounds")
+    return prior, {f: w.tolist() for f, w in weights.items()}
+
+
+def score_pairs(pairs: DataFrame, records: DataFrame, said: dict[str, int], called: dict[str, int], n: int, least: float = 0.75) -> DataFrame:
+    """(id_1, id_2, source_1, source_2, confidence) of all candidate pairs that can reach ``least``.
+
+    Pairs near in a rare word and equal in a number are sure enough to learn which
+    common words stand for each other. Weights are learned from all pairs; common words
+    count as silent there unless a rare word or name is near. Of those other pairs, the
+    ones are compared in full whose fields, with the best agreement of common words
+    there is, could still reach ``least``.
     """
     pairs = materialize(pairs)
-    sure = pairs.filter("place IN (1, 2) AND year = 1")
-    vocab = [sorted(w for w in said if not _YEAR.fullmatch(w)), sorted(called)]
+    near = pairs.filter("said_1 IS NOT NULL")
+    sure = near.filter(F.col("terms").isin(EQUAL, NEAR) & (F.col("numbers") == EQUAL))
+    vocab = [_descriptive(said), sorted(called)]
     counts = [np.array([d[w] for w in v], dtype=float) if v else np.zeros(0) for d, v in ((said, vocab[0]), (called, vocab[1]))]
     weights = [np.log(np.maximum(n / np.maximum(c, 1), 1.0001)) for c in counts]
+    sides = (("said_1", "said_2"), ("called_1", "called_2"))
     links = []
-    for (a, b), c in zip((("said_1", "said_2"), ("called_1", "called_2")), counts, strict=True):
+    for (a, b), c in zip(sides, counts, strict=True):
         met = _together(sure, a, b, len(c)) if len(c) else np.zeros((0, 1))
         link = associations(met, c / max(n, 1))
         links.append(link if met.sum() > 200 else np.eye(len(c)))
+    kept = ["id_1", "id_2", "source_1", "source_2", "terms", "numbers", "names"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: list[dict] = [{}, {}]  # pairs of word lists recur
         for batch in batches:
-            sims = [[agreement(x, y, link, w) for x, y in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist(), strict=True)] for (a, b), link, w in zip((("said_1", "said_2"), ("called_1", "called_2")), links, weights, strict=True)]
-            bins = [pa.array(_bin(np.array(s, dtype=float)).astype(np.int32)) for s in sims]
-            yield pa.record_batch([*[batch.column(c) for c in ("id_1", "id_2", "sources", "place", "year", "name")], *bins], names=["id_1", "id_2", "sources", "place", "year", "name", "said", "called"])
-
-    binned = materialize(pairs.mapInArrow(run, "id_1 string, id_2 string, sources string, place int, year int, name int, said int, called int"))
-    kind = F.when(F.col("place").isin(1, 2) & (F.col("year") == 1), 1).when((F.col("place") == 3) & (F.col("year") == 3), 0)
-    seen = binned.withColumn("sure", kind).filter("sure IS NOT NULL").groupBy("sure", "said", "called").count().collect()  # at most 2 * 11 * 11 rows
-    score = F.lit(PRIOR) + _column(F.col("place"), PLACE_WEIGHT) + _column(F.col("year"), YEAR_WEIGHT) + _column(F.col("name"), NAME_WEIGHT)
-    for field in ("said", "called"):
-        score = score + _column(F.col(field), _log_odds(seen, field, len(_BINS) + 1))
-    return binned.select("id_1", "id_2", "sources", (1 / (1 + F.exp(-score))).alias("confidence"))
+            bins = []
+            for at, ((a, b), link, w) in enumerate(zip(sides, links, weights, strict=True)):
+                values = []
+                for x, y in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist(), strict=True):
+                    key = (tuple(x), tuple(y))
+                    if key not in known[at]:
+                        if len(known[at]) > 100_000:
+                            known[at].clear()
+                        known[at][key] = agreement(x, y, link, w)
+                    values.append(known[at][key])
+                bins.append(pa.array(_bin(np.array(values, dtype=float)).astype(np.int32)))
+            yield pa.record_batch([*[batch.column(c) for c in kept], *bins], names=[*kept, "said", "called"])
+
+    kind = pairs.schema["id_1"].dataType.simpleString()
+    schema = f"id_1 {kind}, id_2 {kind}, {_CODED}, said int, called int"
+    binned = materialize(near.mapInArrow(run, schema))
+    far = pairs.filter("said_1 IS NULL")
+    every = binned.select(*FIELDS).unionByName(far.select("terms", "numbers", "names", F.lit(0).alias("said"), F.lit(0).alias("called")))
+    patterns = {tuple(r[f] for f in FIELDS): r["n"] for r in every.groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the product of FIELDS
+    prior, odds = learn_weights(patterns)
+    logit = math.log(least / (1 - least)) if 0 < least < 1 else -math.inf
+    base = F.lit(prior) + sum((_column(F.col(f), odds[f]) for f in ("terms", "numbers", "names")), F.lit(0.0))
+    # any further pair whose fields leave it a chance is compared in full
+    chance = far.filter(base + max(odds["said"]) + max(odds["called"]) >= logit).select(*kept)
+    own = lambda i: records.select(F.col("id").alias(f"id_{i}"), F.col("said").alias(f"said_{i}"), F.col("called").alias(f"called_{i}"))
+    others = chance.join(own(1), "id_1").join(own(2), "id_2").select(*kept, "said_1", "said_2", "called_1", "called_2").mapInArrow(run, schema)
+    score = base + _column(F.col("said"), odds["said"]) + _column(F.col("called"), odds["called"])
+    return binned.unionByName(others).select("id_1", "id_2", "source_1", "source_2", (1 / (1 + F.exp(-score))).alias("confidence"))
 
 
 def _column(c, values):
@@ -322,70 +402,103 @@ def _column(c, values):
     return out
 
 
-def _log_odds(seen, field: str, size: int) -> list[float]:
-    yes, no = np.zeros(size), np.zeros(size)
-    for r in seen:
-        (yes if r["sure"] else no)[r[field]] += r["count"]
-    if yes.sum() < 50 or no.sum() < 50:
-        steps = [0.0] + [(-3 + 6 * i / (size - 2)) * (1 if field == "said" else 0.4) for i in range(size - 1)]
-        return steps
-    # neighbouring bins are smoothed; bin 0 (nothing said) weighs nothing
-    yes, no = (np.r_[v[0], np.convolve(v[1:], [0.25, 0.5, 0.25], "same")] + 0.5 for v in (yes, no))
-    out = np.log(yes / yes[1:].sum()) - np.log(no / no[1:].sum())
-    out[0] = 0.0
-    return out.tolist()
+def assign_edges(left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which edges form the one-to-one assignment of greatest total weight; ends are numbered from 0.
+
+    Left ends are placed one after the other along cheapest paths over the edges, with
+    prices on both ends that certify the optimum; an end whose price falls to 0 stays
+    alone. Weights count to nine decimals, as integers, so ties are exact.
+    """
+    gain = np.rint(np.asarray(weight, dtype=float) * 1e9).astype(np.int64)
+    order = np.lexsort((-gain, left))
+    lf, rt, w = np.asarray(left)[order], np.asarray(right)[order], gain[order]
+    n, m = (int(lf.max()) + 1, int(rt.max()) + 1) if len(lf) else (0, 0)
+    start = np.searchsorted(lf, np.arange(n + 1))
+    up, vp = [0] * n, [0] * m
+    mate_l, mate_r = [-1] * n, [-1] * m
+    rows = [None] * n
+
+    def row(i: int) -> list[tuple[int, int, int]]:
+        if rows[i] is None:
+            rows[i] = [(e, r, g) for e, r, g in zip(range(int(start[i]), int(start[i + 1])), rt[start[i] : start[i + 1]].tolist(), w[start[i] : start[i + 1]].tolist(), strict=True) if g > 0]
+        return rows[i]
+
+    for i in range(n):
+        up[i] = max((g - vp[r] for _, r, g in row(i)), default=0)
+        if up[i] <= 0:
+            up[i] = 0
+            continue
+        far_l, far_r, back = {i: 0}, {}, {}
+        stop, lone, free = up[i], i, -1
+        # free ends first among equally near ones
+        heap = [(up[i] + vp[r] - g, mate_r[r] >= 0, r, e) for e, r, g in row(i) if up[i] + vp[r] - g < stop]
+        heapq.heapify(heap)
+        while heap:
+            d, taken, r, e = heapq.heappop(heap)
+            if d >= stop:
+                break
+            if r in far_r:
+                continue
+            far_r[r], back[r] = d, e
+            if not taken:
+                stop, free = d, r
+                break
+            k = int(lf[mate_r[r]])
+            far_l[k] = d
+            if d + up[k] < stop:
+                stop, lone = d + up[k], k
+            for e2, r2, g in row(k):
+                d2 = d + up[k] + vp[r2] - g
+                if d2 < stop and r2 not in far_r:
+                    heapq.heappush(heap, (d2, mate_r[r2] >= 0, r2, e2))
+        for k, d in far_l.items():
+            up[k] -= max(0, stop - d)
+        for r, d in far_r.items():
+            vp[r] += max(0, stop - d)
+        if free < 0:
+            if lone == i:
+                continue
+            free = int(rt[mate_l[lone]])
+            mate_l[lone] = -1
+        r = free
+        while True:
+            e = back[r]
+            k = int(lf[e])
+            before, mate_l[k], mate_r[r] = mate_l[k], e, e
+            if k == i:
+                break
+            r = int(rt[before])
+    chosen = np.zeros(len(lf), dtype=bool)
+    chosen[order[[e for e in mate_l if e >= 0]]] = True
+    return chosen
 
 
 def best_assignment(weight: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (row, column) of a one-to-one assignment with the greatest total weight; zero weights pair nothing."""
-    flip = weight.shape[0] > weight.shape[1]
-    w = weight.T if flip else weight
-    n, m = w.shape
-    cost = w.max(initial=0) - w
-    u, v = np.zeros(n + 1), np.zeros(m + 1)
-    match = np.zeros(m + 1, dtype=int)
-    for i in range(1, n + 1):
-        match[0], j0 = i, 0
-        low, way, done = np.full(m + 1, np.inf), np.zeros(m + 1, dtype=int), np.zeros(m + 1, dtype=bool)
-        while True:
-            done[j0] = True
-            cur = cost[match[j0] - 1] - u[match[j0]] - v[1:]
-            better = ~done[1:] & (cur < low[1:])
-            low[1:][better] = cur[better]
-            way[1:][better] = j0
-            j1 = int(np.argmin(np.where(done[1:], np.inf, low[1:]))) + 1
-            step = low[j1]
-            u[match[done]] += step
-            v[done] -= step
-            low[~done] -= step
-            j0 = j1
-            if not match[j0]:
-                break
-        while j0:
-            match[j0] = match[way[j0]]
-            j0 = way[j0]
-    pairs = [(match[j] - 1, j - 1) for j in range(1, m + 1) if match[j] and w[match[j] - 1, j - 1] > 0]
-    return [(j, i) for i, j in pairs] if flip else pairs
+    left, right = np.nonzero(weight > 0)
+    chosen = assign_edges(left, right, weight[left, right])
+    return list(zip(left[chosen].tolist(), right[chosen].tolist(), strict=True))
 
 
 def auction(edges: DataFrame, step: float = 1e-3, max_rounds: int = 500) -> DataFrame:
     """One-to-one edges (l, r, w) within ``step`` a pair of the greatest total weight, across tasks.
 
     Each round every free left end bids for its best right end by the margin to its
-    second best; a right end goes to its highest bidder. Only ends with positive
-    profit bid, so the rounds end. If they have not after ``max_rounds``, that is an
-    error: what is owned by then is no assignment of the kind promised.
+    second best; a right end goes to its highest bidder. Equal gains are told apart by
+    a hash of both ends, so tied ends bid for different ones. Only ends with positive
+    profit bid. If bids are left after ``max_rounds``, that is an error: what is owned
+    by then is no assignment of the kind promised.
     """
     edges = materialize(edges)
     price = edges.select("r").distinct().withColumn("p", F.lit(0.0)).withColumn("owner", F.lit(None).cast("string"))
     price = materialize(price)
     for _ in range(max_rounds):
         taken = price.filter("owner IS NOT NULL").select(F.col("owner").alias("l"))
-        free = edges.join(taken, "l", "left_anti").join(price.select("r", "p"), "r").withColumn("gain", F.col("w") - F.col("p")).filter("gain > 0")
-        top = free.groupBy("l").agg(F.max(F.struct("gain", "r")).alias("best"))
+        free = edges.join(taken, "l", "left_anti").join(price.select("r", "p"), "r").withColumn("gain", F.round(F.col("w") - F.col("p"), 9)).filter("gain > 0")
+        top = free.groupBy("l").agg(F.max(F.struct("gain", F.xxhash64("l", "r").alias("h"), "r")).alias("best"))
         second = free.join(top.select("l", F.col("best.r").alias("r")), ["l", "r"], "left_anti").groupBy("l").agg(F.max("gain").alias("second"))
         bids = top.join(second, "l", "left").select(F.col("best.r").alias("r"), "l", (F.col("best.gain") - F.coalesce("second", F.lit(0.0)) + step).alias("up"))
-        won = materialize(bids.groupBy("r").agg(F.max(F.struct("up", "l")).alias("b")).select("r", F.col("b.up").alias("up"), F.col("b.l").alias("new")))
+        won = materialize(bids.groupBy("r").agg(F.max(F.struct("up", F.xxhash64("l").alias("h"), "l")).alias("b")).select("r", F.col("b.up").alias("up"), F.col("b.l").alias("new")))
         if won.isEmpty():
             break
         price = materialize(price.join(won, "r", "left").select("r", (F.col("p") + F.coalesce("up", F.lit(0.0))).alias("p"), F.coalesce("new", "owner").alias("owner")))
@@ -394,44 +507,42 @@ def auction(edges: DataFrame, step: float = 1e-3, max_rounds: int = 500) -> Data
     return edges.join(price.filter("owner IS NOT NULL").select("r", F.col("owner").alias("l")), ["l", "r"])
 
 
-def assign(scored: DataFrame, least: float = 0.75, group_side: int = GROUP_SIDE) -> DataFrame:
+def assign(scored: DataFrame, least: float = 0.75, group_pairs_most: int = GROUP_PAIRS) -> DataFrame:
     """The pairs of a one-to-one assignment between any two sources with the greatest total confidence.
 
-    Only pairs of at least ``least`` confidence count. Rivals are grouped; a group with
-    up to ``group_side`` records a side is solved exactly in one task, larger groups
-    are auctioned.
+    Only pairs of at least ``least`` confidence count. Rivals are grouped; a group of up
+    to ``group_pairs_most`` pairs is solved exactly in one task, a larger one is
+    auctioned, within the auction's step a pair of the greatest total.
     """
     kept = materialize(scored.filter(F.col("confidence") >= least))
-    ends = kept.select("*", F.concat_ws("\x01", "sources", "id_1").alias("l"), F.concat_ws("\x01", "sources", "id_2").alias("r"))
+    first = F.col("source_1") < F.col("source_2")
+    # the smaller id is not always of the same source, so sides are told by source
+    sides = F.concat_ws("\x01", F.least("source_1", "source_2"), F.greatest("source_1", "source_2"))
+    end = lambda c: F.concat_ws("\x01", sides, c.cast("string"))
+    ends = kept.select("id_1", "id_2", "confidence", end(F.when(first, F.col("id_1")).otherwise(F.col("id_2"))).alias("l"), end(F.when(first, F.col("id_2")).otherwise(F.col("id_1"))).alias("r"))
     degree = ends.select(F.explode(F.array("l", "r")).alias("node")).groupBy("node").count()
-    alone = degree.filter("count = 1").select("node")
+    alone = materialize(degree.filter("count = 1").select("node"))
     lone = ends.join(alone.withColumnRenamed("node", "l"), "l", "left_semi").join(alone.withColumnRenamed("node", "r"), "r", "left_semi")
-    rivals = materialize(ends.join(lone.select("l", "r"), ["l", "r"], "left_anti"))
-    lone = lone.select("id_1", "id_2", "sources", "confidence")
+    rivals = materialize(ends.join(lone.select("l", "r"), ["l", "r"], "left_anti").select("l", "r", "id_1", "id_2", "confidence"))
+    lone = lone.select("id_1", "id_2", "confidence")
     if rivals.isEmpty():
         return lone
     groups = group_pairs(rivals, "l", "r")
     tied = materialize(rivals.join(groups.select(F.col("node").alias("l"), "root"), "l"))
-    # the smaller id is not always of the same source, so sides are told by source
-    sizes = tied.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.filter(F.col("n") <= group_side)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        lefts, rights = sorted(set(pdf["l"])), sorted(set(pdf["r"]))
-        li, ri = {x: i for i, x in enumerate(lefts)}, {x: i for i, x in enumerate(rights)}
-        w = np.zeros((len(lefts), len(rights)))
-        w[[li[x] for x in pdf["l"]], [ri[x] for x in pdf["r"]]] = pdf["confidence"]
-        chosen = set(best_assignment(w))
-        keep = [(li[a], ri[b]) in chosen for a, b in zip(pdf["l"], pdf["r"], strict=True)]
-        return pdf.loc[keep, ["id_1", "id_2", "sources", "confidence"]]
-
-    schema = "id_1 string, id_2 string, sources string, confidence double"
-    exact = tied.join(small.select("root"), "root", "left_semi").groupBy("root").applyInPandas(solve, schema)
-    large = materialize(tied.join(small.select("root"), "root", "left_anti"))
+    large = materialize(tied.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_pairs_most).select("root"))
+
+    def solve(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("l", "ascending"), ("r", "ascending")])
+        l, r = (table.column(c).combine_chunks().dictionary_encode().indices.to_numpy() for c in ("l", "r"))
+        return table.filter(pa.array(assign_edges(l, r, table.column("confidence").to_numpy()))).select(["id_1", "id_2", "confidence"])
+
+    kind = kept.schema["id_1"].dataType.simpleString()
+    exact = tied.join(large, "root", "left_anti").groupBy("root").applyInArrow(solve, f"id_1 {kind}, id_2 {kind}, confidence double")
     out = lone.unionByName(exact)
     if not large.isEmpty():
-        won = auction(large.select("l", "r", F.col("confidence").alias("w")))
-        out = out.unionByName(large.join(won.select("l", "r"), ["l", "r"], "left_semi").select("id_1", "id_2", "sources", "confidence"))
+        apart = materialize(tied.join(large, "root", "left_semi"))
+        won = auction(apart.select("l", "r", F.col("confidence").alias("w")))
+        out = out.unionByName(apart.join(won.select("l", "r"), ["l", "r"], "left_semi").select("id_1", "id_2", "confidence"))
     return out
 
 
@@ -444,6 +555,12 @@ def match_entities(resources: DataFrame, labels: DataFrame, schemes: list[str],
     texts = materialize(source_records(resources, labels, schemes))
     n = texts.count()
     said, called = common_words(texts, "said", n), common_words(texts, "called", n)
-    records = materialize(texts.mapInArrow(_split(said, called), _RECORD))
-    scored = score_pairs(window_pairs(sort_rows(records), window), said, called, n)
-    return assign(scored, least).select("id_1", "id_2", "confidence")
+    # numbers in the order of ids stand for them until the end
+    ranked = with_rank(texts.mapInArrow(_split(said, called), _RECORD), ["id"], "_n")
+    names = materialize(ranked.select(F.col("_n").alias("n"), "id"))
+    records = materialize(ranked.drop("id").withColumnRenamed("_n", "id"))
+    scored = score_pairs(window_pairs(sort_rows(records), window), records, said, called, n, least)
+    chosen = assign(scored, least)
+    own = lambda i: names.select(F.col("n").alias(f"n_{i}"), F.col("id").alias(f"id_{i}"))
+    numbered = chosen.select(F.col("id_1").alias("n_1"), F.col("id_2").alias("n_2"), "confidence")
+    return numbered.join(own(1), "n_1").join(own(2), "n_2").select("id_1", "id_2", "confidence")
