@@ -1,14 +1,20 @@
 """Consensus from several annotators' labels (problem 2).
 
-Messages travel on label edges between items and annotators. An item tells each of
-its annotators how far every class holds against the rest, judged by the other
-annotators only; an annotator answers each item with how often its verdict goes with
-the class, judged by its other items only. They are repeated until they stand still.
+Messages travel on label edges between items and annotators, once for every class
+against the rest. An item tells each of its annotators how far the class holds for
+it, judged by the other annotators only; an annotator answers each item with how
+much likelier its verdict is where the class holds, judged by its other items only.
+They are repeated until they stand still; the six classes meet only at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from itertools import count
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmesh.operators.skewjoin import join_unique
@@ -18,10 +24,15 @@ from lexmesh.storage import discard, materialize
 RELATIONS = ("same", "near_same", "target_is_broader", "target_is_narrower", "related", "unrelated")
 #: The levels of confidence, surest first.
 LEVELS = ("high", "medium", "low")
-#: Verdict tables of up to so many (annotator, verdict) rows are broadcast (about 20 MB).
-BROADCAST_ROWS = 100_000
+#: Answer tables of up to so many annotators are held in every task (about 4 MB a thousand).
+TABLE_ANNOTATORS = 3_000
+#: Rounds of full steps, then of half steps; after these each step is a tenth shorter than the last, so messages that swing come to rest.
+FULL_ROUNDS, HALF_ROUNDS = 8, 12
 
 _K = len(RELATIONS)
+_LEVELS = len(LEVELS) + 1
+#: A verdict as seen here: the relation it names or none, and its confidence.
+_ANSWERS = (_K + 1) * _LEVELS
 
 
 def relation_code(best_relation: Column) -> Column:
@@ -61,97 +72,245 @@ def latest_verdicts(verdicts: DataFrame) -> DataFrame:
     return both.groupBy("item", "annotator").agg(F.pmod(F.max("_v"), F.lit(128)).cast("int").alias("code"))
 
 
-def _answers(edges: DataFrame, strength: float) -> DataFrame:
-    """(annotator, code, num0.., den0..): counts behind P(code | class) of each annotator, drawn to all annotators' by ``strength`` verdicts."""
-    own = materialize(edges.groupBy("annotator", "code").agg(*[F.sum(f"b{k}").alias(f"n{k}") for k in range(_K)]))
-    every = Window.partitionBy(F.lit(0))
-    totals = own.groupBy("annotator").agg(*[F.sum(f"n{k}").alias(f"t{k}") for k in range(_K)])
-    shared = own.groupBy("code").agg(*[F.sum(f"n{k}").alias(f"g{k}") for k in range(_K)])
-    shared = shared.select("code", *[((F.col(f"g{k}") + 0.01) / (F.sum(f"g{k}").over(every) + 0.84)).alias(f"g{k}") for k in range(_K)])
-    # one row per verdict code (84 at most) and one per annotator
-    full = own.join(F.broadcast(shared), "code").join(totals, "annotator")
-    return full.select("annotator", "code", *[(F.col(f"n{k}") + strength * F.col(f"g{k}")).alias(f"num{k}") for k in range(_K)], *[(F.col(f"t{k}") + strength).alias(f"den{k}") for k in range(_K)])
+def answer_of(code: Column) -> Column:
+    """The verdict as an answer: (relation named + 1, 0 for none) * levels + level of confidence."""
+    return ((vote_of(code) + 1) * _LEVELS + code % _LEVELS).cast("int")
 
 
-def _with_answers(edges: DataFrame, answers: DataFrame) -> DataFrame:
-    answers = materialize(answers)
-    if answers.count() <= BROADCAST_ROWS:
-        both = edges.join(F.broadcast(answers), ["annotator", "code"])
-    else:
-        key = F.concat_ws("\x1f", "annotator", F.col("code").cast("string"))
-        both = join_unique(edges.withColumn("_k", key), answers.withColumn("_k", key).drop("annotator", "code"), "_k").drop("_k")
-    floor = F.lit(1e-9)
-    return both.select("item", "annotator", "code", *[f"b{k}" for k in range(_K)], *[F.log(F.greatest(F.col(f"num{k}") - F.col(f"b{k}"), floor) / F.greatest(F.col(f"den{k}") - F.col(f"b{k}"), floor)).alias(f"m{k}") for k in range(_K)])
+def _groups() -> np.ndarray:
+    """For class and answer: what the answer is to "does the class hold?" - yes, no or nothing, by level."""
+    vote, level = np.divmod(np.arange(_ANSWERS), _LEVELS)
+    kind = np.where(vote[None, :] == np.arange(1, _K + 1)[:, None], 0, np.where(vote[None, :] > 0, 1, 2))
+    return kind * _LEVELS + level[None, :]
+
+
+def likelihoods(mass: np.ndarray, strength: float) -> tuple[np.ndarray, np.ndarray]:
+    """Counts behind P(answer) for annotators: from mass (annotators, answers, classes) to numerators of that shape and denominators (annotators, classes).
+
+    Answers of one kind count together; every annotator is drawn to all annotators' by
+    ``strength`` verdicts.
+    """
+    group = _groups()
+    num = np.empty_like(mass)
+    for k in range(_K):
+        held = np.zeros((len(mass), group.max() + 1))
+        np.add.at(held.T, group[k], mass[:, :, k].T)
+        shared = held.sum(0) + 0.01
+        num[:, :, k] = (held + strength * shared / shared.sum())[:, group[k]]
+    return num, mass.sum(1) + strength
+
+
+def messages(hold: np.ndarray, yes: tuple[np.ndarray, ...], no: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Log-odds that an annotator's answer lends each class, without the item's own part ``hold`` in its counts."""
+    floor = 1e-9
+    rest = 1 - hold
+    return np.log(np.maximum(yes[0] - hold, floor) / np.maximum(yes[1] - hold, floor)) - np.log(np.maximum(no[0] - rest, floor) / np.maximum(no[1] - rest, floor))
+
+
+def _step(turn: int) -> float:
+    return 1.0 if turn < FULL_ROUNDS else 0.5 * 0.9 ** max(0, turn - FULL_ROUNDS - HALF_ROUNDS)
+
+
+def _prior(share: list[float]) -> np.ndarray:
+    at = np.clip(np.asarray(share, dtype=float), 1e-9, 1 - 1e-9)
+    return np.log(at / (1 - at))
+
+
+def _hold(score: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(score, -40, 40)))
+
+
+def _gather(stats: DataFrame, annotators: int) -> np.ndarray:
+    """(annotators, answers, 1 + classes): verdicts and beliefs; at most TABLE_ANNOTATORS * answers rows."""
+    out = np.zeros((annotators, _ANSWERS, 1 + _K))
+    for r in stats.collect():
+        out[r["annotator"], r["answer"]] = r[2:]
+    return out
+
+
+def _sums(df: DataFrame) -> DataFrame:
+    return df.groupBy("annotator", "answer").agg(F.sum("n").alias("n"), *[F.sum(f"b{k}").alias(f"b{k}") for k in range(_K)])
+
+
+_STATS = "annotator int, answer int, n double, " + ", ".join(f"b{k} double" for k in range(_K))
+_ITEM = "item long, annotators array<int>, answers array<int>, beliefs array<double>, moved double"
+
+
+def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the batch's items, and their edges' annotators, answers and beliefs."""
+    who, said, held = (batch.column(c).flatten().to_numpy() for c in ("annotators", "answers", "beliefs"))
+    return np.diff(batch.column("annotators").offsets.to_numpy()), who, said, held.reshape(-1, _K)
 
 
-def _softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores)
-    parts = [F.exp(s - top) for s in scores]
-    whole = sum(parts[1:], parts[0])
-    return [p / whole for p in parts]
+def _pack(ids, batch, sizes, beliefs, moved) -> pa.RecordBatch:
+    ends = np.r_[0, np.cumsum(sizes)]
+    lists = lambda values, width, kind: pa.ListArray.from_arrays(pa.array(ends * width, pa.int32()), pa.array(values, kind))
+    _, who, said, _ = _unpack(batch)
+    return pa.record_batch([ids, lists(who, 1, pa.int32()), lists(said, 1, pa.int32()), lists(beliefs.ravel(), _K, pa.float64()), pa.array(moved, pa.float64())], names=["item", "annotators", "answers", "beliefs", "moved"])
 
 
-def pass_messages(edges: DataFrame, strength: float = 20.0, tolerance: float = 1e-3, max_rounds: int = 40) -> tuple[DataFrame, list[float]]:
-    """Edges (item, annotator, code, b0..b5) with messages that stand still, and the classes' shares.
+def _item_stats(state: DataFrame, annotators: int) -> DataFrame:
+    """Verdicts and beliefs by annotator and answer; reduced within each task before the shuffle."""
 
-    b_k is the item's belief in class k against all others without this annotator. The
-    rest is weighed by its current beliefs, so the log-odds of the six classes agree
-    with each other. Stops when messages move by less than ``tolerance`` on average.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((annotators * _ANSWERS, 1 + _K))
+        for batch in batches:
+            _, who, said, held = _unpack(batch)
+            at = who * _ANSWERS + said
+            total[:, 0] += np.bincount(at, minlength=len(total))
+            for k in range(_K):
+                total[:, 1 + k] += np.bincount(at, weights=held[:, k], minlength=len(total))
+        seen = np.flatnonzero(total[:, 0])
+        a, c = np.divmod(seen, _ANSWERS)
+        yield pa.record_batch([pa.array(a, pa.int32()), pa.array(c, pa.int32()), *[pa.array(total[seen, j]) for j in range(1 + _K)]], names=["annotator", "answer", "n", *[f"b{k}" for k in range(_K)]])
+
+    return _sums(state.select("annotators", "answers", "beliefs").mapInArrow(run, _STATS))
+
+
+def _table_rounds(edges: DataFrame, names: DataFrame, annotators: int, strength: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Items' scores and annotators' sums where the answer table fits a task.
+
+    The edges are shuffled by item once; a row holds an item with its edges, at most
+    one per annotator, and rounds go over the rows where they lie.
     """
-    item = Window.partitionBy("item")
-    votes = [F.sum((vote_of(F.col("code")) == k).cast("double")).over(item) + 0.1 for k in range(_K)]
-    whole = sum(votes[1:], votes[0])
-    state = materialize(edges.select("item", "annotator", "code", *[(v / whole).alias(f"b{k}") for k, v in enumerate(votes)]))
-    share = None
-    for _ in range(max_rounds):
-        share = share or list(state.agg(*[F.avg(f"b{k}") for k in range(_K)]).first())
-        if share[0] is None:
-            return state, [1 / _K] * _K
-        told = _with_answers(state, _answers(state, strength))
-        cavity = [F.sum(f"m{k}").over(item) - F.col(f"m{k}") + F.lit(_log(share[k])) for k in range(_K)]
-        fresh = told.select("item", "annotator", "code", *[F.col(f"b{k}").alias(f"o{k}") for k in range(_K)], *[c.alias(f"s{k}") for k, c in enumerate(cavity)])
-        beliefs = _softmax([F.col(f"s{k}") for k in range(_K)])
-        moved = sum([F.abs(F.col(f"n{k}") - F.col(f"o{k}")) for k in range(1, _K)], F.abs(F.col("n0") - F.col("o0")))
-        fresh = fresh.select("*", *[b.alias(f"n{k}") for k, b in enumerate(beliefs)])
-        nxt = materialize(fresh.select("item", "annotator", "code", *[F.col(f"n{k}").alias(f"b{k}") for k in range(_K)], (moved / 2).alias("moved")))
-        *share, change = nxt.agg(*[F.avg(f"b{k}") for k in range(_K)], F.avg("moved")).first()
+    coded = edges.join(F.broadcast(names), "name").groupBy("item").agg(F.array_sort(F.collect_list(F.struct("annotator", "answer"))).alias("e"))
+    named = F.transform("e", lambda x: F.floor(x["answer"] / _LEVELS))
+    vote = [F.size(named) - F.size(F.array_remove(named, F.lit(k + 1).cast("long"))) + 0.1 for k in range(_K)]
+    whole = sum(vote[1:], vote[0])
+    begun = coded.select("item", F.col("e.annotator").alias("annotators"), F.col("e.answer").alias("answers"), F.flatten(F.transform("e", lambda _: F.array(*[v / whole for v in vote]))).alias("beliefs"), F.lit(0.0).alias("moved"))
+    state = materialize(begun)
+    for turn in count():
+        mass = _gather(_item_stats(state, annotators), annotators)
+        step = _step(turn)
+        share = mass[:, :, 1:].sum((0, 1)) / max(mass[:, :, 0].sum(), 1)
+        tables = *likelihoods(mass[:, :, 1:], strength), *likelihoods(mass[:, :, :1] - mass[:, :, 1:], strength)
+        told = _told(tables, share)
+
+        def run(batches: Iterator[pa.RecordBatch], told=told, step=step) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes, _, _, held = _unpack(batch)
+                sent, score = told(batch)
+                fresh = _hold(np.repeat(score, sizes, 0) - sent)
+                moved = np.add.reduceat(np.abs(fresh - held).max(1), np.r_[0, np.cumsum(sizes)[:-1]]) if len(held) else np.zeros(len(sizes))
+                yield _pack(batch.column("item"), batch, sizes, held + step * (fresh - held), moved)
+
+        fresh = materialize(state.mapInArrow(run, _ITEM))
+        change = (fresh.agg(F.sum("moved")).first()[0] or 0.0) / max(mass[:, :, 0].sum(), 1)
         discard(state)
-        state = nxt.drop("moved")
-        if change < tolerance:
+        state = fresh
+        if change * step < tolerance:
             break
-    return state, share
+    stats = materialize(_item_stats(state, annotators))
+    mass = _gather(stats, annotators)
+    share = mass[:, :, 1:].sum((0, 1)) / max(mass[:, :, 0].sum(), 1)
+    told = _told((*likelihoods(mass[:, :, 1:], strength), *likelihoods(mass[:, :, :1] - mass[:, :, 1:], strength)), share)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, _, said, _ = _unpack(batch)
+            vote = np.zeros((len(said), _K), dtype=np.int32)
+            named = said // _LEVELS - 1
+            vote[np.flatnonzero(named >= 0), named[named >= 0]] = 1
+            votes = np.add.reduceat(vote, np.r_[0, np.cumsum(sizes)[:-1]]) if len(said) else np.zeros((len(sizes), _K), dtype=np.int32)
+            _, score = told(batch)
+            yield pa.record_batch([batch.column("item"), *[pa.array(score[:, k]) for k in range(_K)], *[pa.array(votes[:, k], pa.int32()) for k in range(_K)], pa.array(sizes.astype(np.int64))], names=_SCORED)
+
+    return state.mapInArrow(finish, _SCORED_TYPES), stats.join(F.broadcast(names), "annotator").drop("annotator")
+
+
+_SCORED = ["item", *[f"s{k}" for k in range(_K)], *[f"v{k}" for k in range(_K)], "reviewers"]
+_SCORED_TYPES = "item long, " + ", ".join(f"s{k} double" for k in range(_K)) + ", " + ", ".join(f"v{k} int" for k in range(_K)) + ", reviewers long"
 
 
-def _log(x: float) -> float:
-    import math
+def _told(tables: tuple[np.ndarray, ...], share: np.ndarray):
+    """From a batch of items: what each edge's annotator says, and the items' scores."""
+    num_yes, den_yes, num_no, den_no = tables
+    prior = _prior(share)
 
-    return math.log(max(x, 1e-12))
+    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        sizes, who, said, held = _unpack(batch)
+        sent = messages(held, (num_yes[who, said], den_yes[who]), (num_no[who, said], den_no[who]))
+        score = np.add.reduceat(sent, np.r_[0, np.cumsum(sizes)[:-1]]) if len(sent) else np.zeros((len(sizes), _K))
+        return sent, score + prior
 
+    return run
 
-def consensus(verdicts: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
+
+def _join_rounds(edges: DataFrame, strength: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """The same for more annotators than a task holds: edges meet answers and item sums by joins that survive hot keys."""
+    group = [F.array(*[F.lit(int(x)) for x in row]) for row in _groups()]
+    at = lambda k: F.get(group[k], F.col("answer"))
+    vote = F.floor(F.col("answer") / _LEVELS) - 1
+    edges = materialize(edges)
+    votes = edges.groupBy("item").agg(*[(F.count_if(vote == k) + 0.1).alias(f"v{k}") for k in range(_K)])
+    whole = sum([F.col(f"v{k}") for k in range(1, _K)], F.col("v0"))
+    state = materialize(join_unique(edges, votes, "item").select("item", "name", "answer", *[(F.col(f"v{k}") / whole).alias(f"b{k}") for k in range(_K)]))
+
+    def heard(state: DataFrame) -> tuple[DataFrame, np.ndarray]:
+        first = state.agg(F.count(F.lit(1)), *[F.avg(f"b{k}") for k in range(_K)]).first()
+        out = state.withColumn("_i", F.concat_ws("\x1f", "name", F.col("answer").cast("string")))
+        for k in range(_K):
+            cell = materialize(state.groupBy("name", at(k).alias("g")).agg(F.sum(f"b{k}").alias("yes"), F.sum(1 - F.col(f"b{k}")).alias("no")))
+            shared = {r["g"]: (r["yes"], r["no"]) for r in cell.groupBy("g").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect()}  # a row per kind of answer
+            total = [sum(v[j] for v in shared.values()) + 0.01 * (int(_groups().max()) + 1) for j in (0, 1)]
+            drawn = [F.coalesce(*[F.when(F.col("g") == g, strength * (v[j] + 0.01) / total[j]) for g, v in shared.items()]) for j in (0, 1)] if shared else [F.lit(0.0)] * 2
+            sums = cell.groupBy("name").agg(F.sum("yes").alias("_ty"), F.sum("no").alias("_tn"))
+            table = cell.join(sums, "name").select(F.concat_ws("\x1f", "name", F.col("g").cast("string")).alias("_g"), *[F.struct((F.col(c) + d).alias("num"), (F.col(t) + strength).alias("den")).alias(f"{c}{k}") for c, d, t in (("yes", drawn[0], "_ty"), ("no", drawn[1], "_tn"))])
+            out = join_unique(materialize(out.withColumn("_g", F.concat_ws("\x1f", "name", at(k).cast("string")))), materialize(table), "_g").drop("_g")
+        floor = F.lit(1e-9)
+        part = lambda c, own: F.log(F.greatest(F.col(c)["num"] - own, floor) / F.greatest(F.col(c)["den"] - own, floor))
+        return materialize(out.select("item", "name", "answer", *[f"b{k}" for k in range(_K)], *[(part(f"yes{k}", F.col(f"b{k}")) - part(f"no{k}", 1 - F.col(f"b{k}"))).alias(f"m{k}") for k in range(_K)])), _prior([x or 0.5 for x in first[1:]])
+
+    def scored(told: DataFrame, prior: np.ndarray) -> DataFrame:
+        return told.groupBy("item").agg(*[(F.sum(f"m{k}") + float(prior[k])).alias(f"s{k}") for k in range(_K)], *[F.count_if(vote == k).cast("int").alias(f"v{k}") for k in range(_K)], F.count(F.lit(1)).alias("reviewers"))
+
+    for turn in count():
+        told, prior = heard(state)
+        step = _step(turn)
+        both = join_unique(told, materialize(scored(told, prior).select("item", *[f"s{k}" for k in range(_K)])), "item")
+        fresh = [1 / (1 + F.exp(-F.least(F.greatest(F.col(f"s{k}") - F.col(f"m{k}"), F.lit(-40.0)), F.lit(40.0)))) for k in range(_K)]
+        moved = F.greatest(*[F.abs(f - F.col(f"b{k}")) for k, f in enumerate(fresh)])
+        nxt = materialize(both.select("item", "name", "answer", *[(F.col(f"b{k}") + step * (f - F.col(f"b{k}"))).alias(f"b{k}") for k, f in enumerate(fresh)], moved.alias("moved")))
+        change = nxt.agg(F.avg("moved")).first()[0] or 0.0
+        discard(state)
+        state = nxt.drop("moved")
+        if change * step < tolerance:
+            break
+    told, prior = heard(state)
+    stats = told.groupBy("name", "answer").agg(F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(f"b{k}").alias(f"b{k}") for k in range(_K)])
+    return scored(told, prior), stats
+
+
+def consensus(verdicts: DataFrame, strength: float = 20.0, tolerance: float = 1e-3, table_annotators: int = TABLE_ANNOTATORS) -> tuple[DataFrame, DataFrame]:
     """Items (row_id, best_relation, posterior, agreement, reviewers) and annotators (reviewer, verdicts, reliability).
 
     best_relation is the relation with the greatest log-odds against the rest, ties
-    going to the earlier of RELATIONS; posterior its probability; agreement the share
-    of the item's verdicts naming a relation that name this one (null where none
-    does). reliability is the mean probability, judged without the annotator's own
-    verdict, that the relation it named is right; null where it named none.
+    going to the earlier of RELATIONS; posterior its share of the six probabilities;
+    agreement the share of the item's verdicts naming a relation that name this one
+    (null where none does). reliability is the mean probability, judged without the
+    annotator's own verdict, that the relation it named holds; null where it named
+    none. Messages are repeated until they move by less than ``tolerance`` on average.
+    Both ways of passing them, by number of annotators, give the same result.
     """
-    state, share = pass_messages(materialize(latest_verdicts(verdicts)), **how)
-    told = materialize(_with_answers(state, _answers(state, how.get("strength", 20.0))))
-    votes = [F.sum((vote_of(F.col("code")) == k).cast("int")).alias(f"v{k}") for k in range(_K)]
-    sums = told.groupBy("item").agg(*[(F.sum(f"m{k}") + F.lit(_log(share[k]))).alias(f"s{k}") for k in range(_K)], *votes, F.count(F.lit(1)).alias("reviewers"))
-    probs = _softmax([F.col(f"s{k}") for k in range(_K)])
-    sums = sums.select("item", "reviewers", *[p.alias(f"p{k}") for k, p in enumerate(probs)], *[f"v{k}" for k in range(_K)])
-    top = F.greatest(*[F.col(f"p{k}") for k in range(_K)])
+    edges = materialize(latest_verdicts(verdicts).select("item", F.col("annotator").alias("name"), answer_of(F.col("code")).alias("answer")))
+    names = edges.select("name").distinct()
+    few = [r["name"] for r in names.limit(table_annotators + 1).collect()]
+    if len(few) <= table_annotators:
+        spark = verdicts.sparkSession
+        numbered = spark.createDataFrame([(x, i) for i, x in enumerate(sorted(few))], "name string, annotator int")
+        sums, stats = _table_rounds(edges, numbered, len(few), strength, tolerance)
+    else:
+        sums, stats = _join_rounds(edges, strength, tolerance)
+    hold = [1 / (1 + F.exp(-F.col(f"s{k}"))) for k in range(_K)]
+    whole = sum(hold[1:], hold[0])
+    sums = sums.select("*", F.greatest(*[F.col(f"s{k}") for k in range(_K)]).alias("_top"), whole.alias("_whole"))
     named, own, voted = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(0)
     for k in reversed(range(_K)):
-        named = F.when(F.col(f"p{k}") == top, RELATIONS[k]).otherwise(named)
-        own = F.when(F.col(f"p{k}") == top, F.col(f"v{k}")).otherwise(own)
+        named = F.when(F.col(f"s{k}") == F.col("_top"), RELATIONS[k]).otherwise(named)
+        own = F.when(F.col(f"s{k}") == F.col("_top"), F.col(f"v{k}")).otherwise(own)
         voted = voted + F.col(f"v{k}")
-    items = sums.select(F.col("item").alias("row_id"), named.alias("best_relation"), top.alias("posterior"), F.when(voted > 0, own / voted).alias("agreement"), "reviewers")
-    right = F.lit(None).cast("double")
-    for k in range(_K):
-        right = F.when(vote_of(F.col("code")) == k, F.col(f"b{k}")).otherwise(right)
-    annotators = told.groupBy(F.col("annotator").alias("reviewer")).agg(F.count(F.lit(1)).alias("verdicts"), F.avg(right).alias("reliability"))
+    items = sums.select(F.col("item").alias("row_id"), named.alias("best_relation"), (1 / (1 + F.exp(-F.col("_top"))) / F.col("_whole")).alias("posterior"), F.when(voted > 0, own / voted).alias("agreement"), "reviewers")
+    relation = F.floor(F.col("answer") / _LEVELS) - 1
+    right = F.coalesce(*[F.when(relation == k, F.col(f"b{k}")) for k in range(_K)])
+    annotators = stats.groupBy(F.col("name").alias("reviewer")).agg(F.sum("n").cast("long").alias("verdicts"), (F.sum(right) / F.sum(F.when(relation >= 0, F.col("n")))).alias("reliability"))
     return items, annotators

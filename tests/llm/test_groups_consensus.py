@@ -77,3 +77,13 @@ def test_consensus_edge_cases(spark):
     assert got[1].reviewers == 1 and got[3].agreement is None
     empty, none = consensus(spark.createDataFrame([], VER))
     assert empty.count() == 0 and none.count() == 0
+
+
+def test_many_annotators_give_the_same(spark):
+    rng = random.Random(9)
+    data = [verdict(i, f"r{a}", rng.choice(RELATIONS) if rng.random() < 0.3 else RELATIONS[i % 6], conf=rng.choice(["high", "low", None])) for i in range(30) for a in range(4)]
+    df = spark.createDataFrame(data, VER)
+    few, many = consensus(df, tolerance=0.2), consensus(df, tolerance=0.2, table_annotators=2)
+    for a, b in zip(few, many, strict=True):
+        for x, y in zip(rows(a), rows(b), strict=True):
+            assert all(p == q or abs(p - q) < 1e-9 for p, q in zip(x, y, strict=True)), (x, y)
