@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmesh.functions.keys import strip_key
-from lexmesh.operators.skewjoin import HOT_ROWS, join_unique
+from lexmesh.operators.skewjoin import HOT_ROWS, anti_join, join_unique
 from lexmesh.storage import materialize
 
 #: Record statuses of resources that are gone.
@@ -31,8 +31,8 @@ def unmatched(references: DataFrame, targets: DataFrame, columns: list[tuple[str
     ``partial``: the columns present must occur together in some target; all null
     holds. ``full``: all null holds, some null never does. Targets with nulls in the
     compared columns match nothing there. Each null mask is anti-joined on its own
-    columns only; distinct keys are joined, so repeated references cost nothing there.
-    ``references`` should be cheap to read again (materialized).
+    columns only, rows directly, hot keys apart. ``references`` should be cheap to read
+    again (materialized).
     """
     if match not in ("simple", "partial", "full"):
         raise ValueError(f"unknown match semantics: {match}")
@@ -45,15 +45,10 @@ def unmatched(references: DataFrame, targets: DataFrame, columns: list[tuple[str
         if match == "full" and len(here) < len(columns):
             out.append(group)
             continue
-        names = {t: f"_key_{i}" for i, (_, t) in enumerate(here)}
-        known = targets.select(*[F.col(t).alias(a) for t, a in names.items()]).dropna().distinct()
-        wanted = group.select(*[F.col(r).alias(names[t]) for r, t in here]).distinct()
-        absent = wanted.join(known, list(names.values()), "left_anti")
-        # back to the rows by an injective text of the key; hot absent keys are joined apart
-        text = lambda cols: F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(cols)]))
-        flagged = absent.select(text(list(names.values())).alias("_ref"), F.lit(True).alias("_absent"))
-        both = join_unique(group.withColumn("_ref", text([r for r, _ in here])), flagged, "_ref", hot_rows)
-        out.append(both.filter("_absent").select(*references.columns))
+        names = [f"_key_{i}" for i in range(len(here))]
+        known = targets.select(*[F.col(t).alias(a) for a, (_, t) in zip(names, here, strict=True)]).dropna().distinct()
+        keyed = group.withColumns({a: F.col(r) for a, (r, _) in zip(names, here, strict=True)})
+        out.append(anti_join(keyed, known, names, hot_rows).select(*references.columns))
     return reduce(DataFrame.unionByName, out) if out else references.filter(F.lit(False))
 
 
@@ -92,10 +87,21 @@ def orphan_references(resources: DataFrame, statements: DataFrame, evidence: Dat
     late_rank = F.coalesce(F.unix_micros(F.col("_t").cast("timestamp")), F.lit(-(2**61))) * 2 + F.col("_gone").cast("long")
     known = materialize(known.filter("key IS NOT NULL").groupBy("target", "key").agg(F.min("_t").alias("_first"), F.max_by("_gone", late_rank).alias("_gone")))
     out = ("referring_table", "referring_field", "record_id", "key", F.col("_at").alias("loaded_at"))
-    # the key of a reference is composite: which table it means, and the identifier
-    missing = unmatched(refs, known, [("target", "target"), ("key", "key")], "simple", hot_rows).select(*out, F.lit("missing").alias("orphan_kind"))
+    # these references have one column, so their null masks are two; composite ones are scoped_references
+    missing = reduce(DataFrame.unionByName, [unmatched(refs.filter(F.col("target") == t), known.filter(F.col("target") == t), [("key", "key")], "simple", hot_rows) for t in ("r", "s")]).select(*out, F.lit("missing").alias("orphan_kind"))
     text = F.concat("target", "key")
     held = refs.filter("key IS NOT NULL").withColumn("_k", text)
     both = join_unique(held, known.select(text.alias("_k"), "_first", "_gone", F.lit(True).alias("_here")), "_k", hot_rows).filter("_here")
     kind = F.when(F.col("_gone"), "deleted").when(F.col("_first") > F.col("_at"), "late")
     return missing.unionByName(both.select(*out, kind.alias("orphan_kind")).filter("orphan_kind IS NOT NULL"))
+
+
+def scoped_references(resources: DataFrame, statements: DataFrame, match: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(record_id, subject, source_ring): statements whose subject and ring together name no resource of that ring.
+
+    Both parts of the key may be null; ``match`` says what that means (see
+    ``unmatched``). Subjects of SourceAssignment statements are no references.
+    """
+    refs = statements.filter(F.coalesce(F.trim("statement_type") != "SourceAssignment", F.lit(True)))
+    refs = materialize(refs.select(strip_key("id").alias("record_id"), strip_key("subject").alias("subject"), "source_ring").distinct())
+    return unmatched(refs, resources.select(strip_key("id").alias("id"), "semantic_ring"), [("subject", "id"), ("source_ring", "semantic_ring")], match, hot_rows)

@@ -39,3 +39,18 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT
     warm = left.join(few, key, "left_semi").join(F.broadcast(right.join(few, key, "left_semi")), key, "left")
     cold = left.join(few, key, "left_anti").join(right, key, "left")
     return warm.unionByName(cold).unionByName(nulls.select(warm.columns))
+
+
+def anti_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``left`` whose ``keys``, none of them null, ``right`` (one row per key) lacks.
+
+    ``left`` should be cheap to read again. Keys on more than ``hot_rows`` rows are
+    tested against a broadcast of their own at most ``rows(left) / hot_rows`` keys.
+    """
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialize(counts.filter(F.col("_n") > hot_rows).select(*keys))
+    if hot.isEmpty():
+        return left.join(right, keys, "left_anti")
+    few = F.broadcast(hot)
+    warm = left.join(few, keys, "left_semi").join(F.broadcast(right.select(*keys).join(few, keys, "left_semi")), keys, "left_anti")
+    return warm.unionByName(left.join(few, keys, "left_anti").join(right, keys, "left_anti"))

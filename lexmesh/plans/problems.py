@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmesh.operators.hierarchy import keyword_edges, on_cycle, resolve_hierarchy
-from lexmesh.operators.orphans import orphan_references
-from lexmesh.operators.snapshots import snapshot_changes
-from lexmesh.storage import materialize, table
+from lexmesh.operators.orphans import orphan_references, scoped_references
+from lexmesh.operators.snapshots import latest_changes, snapshot_changes
+from lexmesh.storage import materialize, scratch_dir, table
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
@@ -64,6 +66,11 @@ def p4_summary(spark: SparkSession, d: str) -> DataFrame:
     return p4_changes(spark, d).groupBy("scheme", "release", "change_kind").agg(F.count(F.lit(1)).alias("records"))
 
 
+def p4_latest(spark: SparkSession, d: str) -> DataFrame:
+    """Changes of each scheme's last delivery, merged with the one before out of a kept store."""
+    return latest_changes(table(spark, d, "resource_snapshots"), table(spark, d, "atlas_releases"), f"{scratch_dir(spark)}/snapshots-{uuid.uuid4().hex}")
+
+
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     return orphan_references(*[table(spark, d, t) for t in ("atlas_resources", "atlas_statements", "atlas_evidence_bindings", "atlas_labels")])
 
@@ -78,7 +85,15 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return _orphans(spark, d).groupBy("referring_table", "referring_field", "orphan_kind", month).agg(F.count(F.lit(1)).alias("orphans"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_paths, p3_descendants, p3_cycles, p3_roots, p4_found, p4_changes, p4_summary, p6_found, p6_report)}
+def _scoped(match: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return scoped_references(table(spark, d, "atlas_resources"), table(spark, d, "atlas_statements"), match)
+
+    run.__name__ = f"p6_{match}_match"
+    return run
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_paths, p3_descendants, p3_cycles, p3_roots, p4_found, p4_changes, p4_summary, p4_latest, p6_found, p6_report, *map(_scoped, ("simple", "partial", "full")))}
 
 _UUID = "regexp_replace(right(lower(regexp_replace({0}, '[\\s{{}}-]', '', 'g')), 32), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
 _TREE = f"""
@@ -137,6 +152,12 @@ _ORPHANS = f"""
         FROM first_ref r LEFT JOIN res ON res.k = r.k LEFT JOIN st ON st.k = r.k)
 """
 
+_SCOPED = f"""
+    WITH ref AS (SELECT DISTINCT {_TRIM.format("id")} AS record_id, {_TRIM.format("subject")} AS subject, source_ring FROM atlas_statements WHERE coalesce(trim(statement_type) <> 'SourceAssignment', true)),
+    res AS (SELECT DISTINCT {_TRIM.format("id")} AS id, semantic_ring FROM atlas_resources),
+    both_ AS (SELECT r.* FROM ref r WHERE r.subject IS NOT NULL AND r.source_ring IS NOT NULL AND NOT EXISTS (SELECT 1 FROM res WHERE res.id = r.subject AND res.semantic_ring = r.source_ring))
+"""
+
 SQL = {
     "p3_found": f"{_TREE} SELECT keyword_version, node_uuid, root_uuid, depth FROM found",
     "p3_paths": f"{_TREE} SELECT keyword_version, node_uuid, path, depth FROM found",
@@ -150,6 +171,13 @@ SQL = {
     "p4_found": f"{_CHANGES} SELECT release, id, change_kind FROM changes",
     "p4_changes": f"{_CHANGES} SELECT scheme, release, id, change_kind, changed_columns FROM changes",
     "p4_summary": f"{_CHANGES} SELECT scheme, release, change_kind, count(*) AS records FROM changes GROUP BY ALL",
+    "p4_latest": f"""{_CHANGES}, final AS (SELECT scheme, release FROM nth WHERE k = last AND last > 1)
+        SELECT c.scheme, c.release, c.id, c.change_kind, c.changed_columns FROM changes c JOIN final USING (scheme, release)""",
+    "p6_simple_match": f"{_SCOPED} SELECT * FROM both_",
+    "p6_partial_match": f"""{_SCOPED} SELECT * FROM both_
+        UNION ALL SELECT r.* FROM ref r WHERE r.subject IS NOT NULL AND r.source_ring IS NULL AND NOT EXISTS (SELECT 1 FROM res WHERE res.id = r.subject)
+        UNION ALL SELECT r.* FROM ref r WHERE r.subject IS NULL AND r.source_ring IS NOT NULL AND NOT EXISTS (SELECT 1 FROM res WHERE res.semantic_ring = r.source_ring)""",
+    "p6_full_match": f"{_SCOPED} SELECT * FROM both_ UNION ALL SELECT r.* FROM ref r WHERE (r.subject IS NULL) <> (r.source_ring IS NULL)",
     "p6_found": f"{_ORPHANS} SELECT DISTINCT t AS referring_table, f AS referring_field, id AS record_id, kind AS orphan_kind FROM judged WHERE kind IS NOT NULL",
     "p6_report": f"{_ORPHANS} SELECT t AS referring_table, f AS referring_field, kind AS orphan_kind, strftime(at_, '%Y-%m') AS month, count(*) AS orphans FROM judged WHERE kind IS NOT NULL GROUP BY ALL",
 }
