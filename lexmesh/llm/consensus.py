@@ -149,6 +149,14 @@ def _pack(ids, batch, sizes, beliefs, moved) -> pa.RecordBatch:
     return pa.record_batch([ids, lists(who, 1, pa.int32()), lists(said, 1, pa.int32()), lists(beliefs.ravel(), _K, pa.float64()), pa.array(moved, pa.float64())], names=["item", "annotators", "answers", "beliefs", "moved"])
 
 
+def _votes(said: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many of each item's verdicts name each relation."""
+    vote = np.zeros((len(said), _K), dtype=np.int32)
+    named = said // _LEVELS - 1
+    vote[np.flatnonzero(named >= 0), named[named >= 0]] = 1
+    return np.add.reduceat(vote, np.r_[0, np.cumsum(sizes)[:-1]]) if len(said) else np.zeros((len(sizes), _K), dtype=np.int32)
+
+
 def _item_stats(state: DataFrame, annotators: int) -> DataFrame:
     """Verdicts and beliefs by annotator and answer; reduced within each task before the shuffle."""
 
@@ -174,11 +182,16 @@ def _table_rounds(edges: DataFrame, names: DataFrame, annotators: int, strength:
     one per annotator, and rounds go over the rows where they lie.
     """
     coded = edges.join(F.broadcast(names), "name").groupBy("item").agg(F.array_sort(F.collect_list(F.struct("annotator", "answer"))).alias("e"))
-    named = F.transform("e", lambda x: F.floor(x["answer"] / _LEVELS))
-    vote = [F.size(named) - F.size(F.array_remove(named, F.lit(k + 1).cast("long"))) + 0.1 for k in range(_K)]
-    whole = sum(vote[1:], vote[0])
-    begun = coded.select("item", F.col("e.annotator").alias("annotators"), F.col("e.answer").alias("answers"), F.flatten(F.transform("e", lambda _: F.array(*[v / whole for v in vote]))).alias("beliefs"), F.lit(0.0).alias("moved"))
-    state = materialize(begun)
+    lists = coded.select("item", F.col("e.annotator").alias("annotators"), F.col("e.answer").alias("answers"), F.array().cast("array<double>").alias("beliefs"))
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, _, said, _ = _unpack(batch)
+            votes = _votes(said, sizes) + 0.1
+            shares = votes / votes.sum(1, keepdims=True)
+            yield _pack(batch.column("item"), batch, sizes, np.repeat(shares, sizes, 0), np.zeros(len(sizes)))
+
+    state = materialize(lists.mapInArrow(begin, _ITEM))
     for turn in count():
         mass = _gather(_item_stats(state, annotators), annotators)
         step = _step(turn)
@@ -208,10 +221,7 @@ def _table_rounds(edges: DataFrame, names: DataFrame, annotators: int, strength:
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, _, said, _ = _unpack(batch)
-            vote = np.zeros((len(said), _K), dtype=np.int32)
-            named = said // _LEVELS - 1
-            vote[np.flatnonzero(named >= 0), named[named >= 0]] = 1
-            votes = np.add.reduceat(vote, np.r_[0, np.cumsum(sizes)[:-1]]) if len(said) else np.zeros((len(sizes), _K), dtype=np.int32)
+            votes = _votes(said, sizes)
             _, score = told(batch)
             yield pa.record_batch([batch.column("item"), *[pa.array(score[:, k]) for k in range(_K)], *[pa.array(votes[:, k], pa.int32()) for k in range(_K)], pa.array(sizes.astype(np.int64))], names=_SCORED)
 
