@@ -30,7 +30,7 @@ COMMON_SHARE = 0.004
 #: Records compared on either side of a record in each sort order.
 WINDOW = 8
 #: Rows of a sort order compared in one task.
-TASK_ROWS = 20_000
+TASK_ROWS = 10_000
 #: Pairs of one group of rivals that a task assigns (about 500 MB); larger groups are auctioned across tasks.
 GROUP_PAIRS = 5_000_000
 
@@ -74,20 +74,26 @@ def _shared(a: str, b: str) -> int:
     return i + j
 
 
-def nearness(a: list[str], b: list[str], most: int) -> int:
-    """0: one side says nothing, 1: equal, 2: one edit apart (up to ``most`` in words of nine or more letters), 3: different."""
+def nearness(a: list[str], b: list[str], most: int, own: frozenset[str] | None = None) -> int:
+    """0: one side says nothing, 1: equal, 2: one edit apart (up to ``most`` in words of nine or more letters), 3: different.
+
+    ``own`` are the words of ``b`` as a set, if at hand.
+    """
     if not a or not b:
         return 0
-    if any(x in b for x in a):
+    if not (frozenset(b) if own is None else own).isdisjoint(a):
         return 1
     for x in a:
+        n, first, last = len(x), x[0], x[-1]
+        if n < 4:
+            continue
         for y in b:
-            size = min(len(x), len(y))
-            if size < 4 or abs(len(x) - len(y)) > most:
+            # near words are equal at one end at least
+            if (y[0] != first and y[-1] != last) or len(y) < 4 or not -most <= n - len(y) <= most:
                 continue
-            few = most if size >= 9 else 1
+            few = most if min(n, len(y)) >= 9 else 1
             # what lies between the shared ends spans at most the edits and the letters between them
-            if _shared(x, y) >= max(len(x), len(y)) - (2 if few == 1 else 7) and edits(x, y, few) <= few:
+            if _shared(x, y) >= max(n, len(y)) - (2 if few == 1 else 7) and edits(x, y, few) <= few:
                 return 2
     return 3
 
@@ -181,53 +187,69 @@ SILENT, EQUAL, NEAR, DIFFERENT = range(4)
 _CODED = "source_1 string, source_2 string, terms int, numbers int, names int"
 
 
-def window_pairs(rows: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
-    """All pairs of different sources within ``window`` places of an order, with their fields compared.
-
-    Pairs that are near in a rare word or a name carry their common words (said_1,
-    said_2, called_1, called_2); the others have nulls there. Rows get their exact rank
-    over all partitions; blocks of ``task_rows`` ranks with the next ``window`` ranks
-    repeated are compared apart, so no pair is lost between tasks and no task holds a
-    whole order.
-    """
+def _window_rows(rows: DataFrame, window: int, task_rows: int, kept: set[tuple[int, ...]] | None) -> DataFrame:
+    """Compared pairs, unreduced: with ids those near or equal in a field or of a pattern in ``kept`` (None: all);
+    the others as counts (n) by pattern and task. A pattern tells too which common words either side lacks."""
     kind = rows.schema["id"].dataType.simpleString()
     arrow = pa.int64() if kind == "bigint" else pa.string()
     cols = ["order", "id", "source", "terms", "numbers", "names", "said", "called", "key"]
     placed = with_rank(rows.select(*cols), ["order", "key", "id"], "rank").drop("key")
     total = placed.count()
     words_of = ["said_1", "said_2", "called_1", "called_2"]
-    result = f"id_1 {kind}, id_2 {kind}, {_CODED}, " + ", ".join(f"{c} array<int>" for c in words_of)
+    result = f"id_1 {kind}, id_2 {kind}, {_CODED}, " + ", ".join(f"{c} array<int>" for c in words_of) + ", heard boolean, read boolean, n long"
     block = F.floor(F.col("rank") / task_rows)
     again = F.when((F.col("rank") % task_rows < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
     placed = placed.withColumn("block", F.explode(again))
-    blocks = max(1, -(-total // task_rows))
     names = ["order", "id", "source", "terms", "numbers", "names", "said", "called", "rank", "block"]
+    kinds = [arrow, arrow, pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.list_(pa.int32())] * 4, pa.bool_(), pa.bool_(), pa.int64()]
+    columns = ["id_1", "id_2", "source_1", "source_2", "terms", "numbers", "names", *words_of, "heard", "read", "n"]
+    none = (None,) * 4
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: list[tuple] = []
+        apart: Counter = Counter()
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 14, kinds, strict=True)], names=columns)
+
         for batch in batches:
             out = []
             for row in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
-                order, ident, source, terms, numbers, called, *_, rank, own = row
-                keep = own * task_rows <= rank
+                order, ident, source, terms, numbers, called, said, other, rank, own = row
+                term_set, number_set, name_set = frozenset(terms), frozenset(numbers), frozenset(called)
                 recent = [r for r in recent if r[9] == own and rank - r[8] <= window]
                 for r in recent:
                     # a pair belongs to the block of its earlier row
-                    if r[0] != order or r[2] == source or r[1] == ident or r[8] >= (own + 1) * task_rows:
+                    if r[2] == source or r[0] != order or r[1] == ident or r[8] >= (own + 1) * task_rows:
                         continue
-                    term, name = nearness(r[3], terms, 1), nearness(r[5], called, 2)
-                    number = SILENT if not numbers or not r[4] else (EQUAL if not set(numbers).isdisjoint(r[4]) else DIFFERENT)
-                    a, b = (r, row) if r[1] < ident else (row, r)
+                    term, name = nearness(r[3], terms, 1, term_set), nearness(r[5], called, 2, name_set)
+                    number = SILENT if not numbers or not r[4] else (DIFFERENT if number_set.isdisjoint(r[4]) else EQUAL)
                     close = EQUAL <= term <= NEAR or EQUAL <= name <= NEAR
-                    out.append((a[1], b[1], a[2], b[2], term, number, name, *((a[6], b[6], a[7], b[7]) if close else (None,) * 4)))
-                if keep:
+                    pattern = (term, number, name, bool(said and r[6]), bool(other and r[7]))
+                    if not close and number != EQUAL and kept is not None and pattern not in kept:
+                        apart[pattern] += 1
+                        continue
+                    a, b = (r, row) if r[1] < ident else (row, r)
+                    out.append((a[1], b[1], a[2], b[2], *pattern[:3], *((a[6], b[6], a[7], b[7]) if close else none), *pattern[3:], 1))
+                if own * task_rows <= rank:
                     recent.append(row)
-            cols = list(zip(*out, strict=True)) if out else [[]] * 11
-            kinds = [arrow, arrow, pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), *[pa.list_(pa.int32())] * 4]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id_1", "id_2", "source_1", "source_2", "terms", "numbers", "names", *words_of])
+            yield batch_of(out)
+        yield batch_of([(None, None, None, None, *pattern[:3], *none, *pattern[3:], n) for pattern, n in apart.items()])
+
+    blocks = max(1, -(-total // task_rows))
+    return placed.select(*names).repartitionByRange(min(blocks, 20_000), "block").sortWithinPartitions("block", "rank").mapInArrow(compare, result)
+
 
-    pairs = placed.select(*names).repartition(min(blocks, 2000), "block").sortWithinPartitions("block", "rank").mapInArrow(compare, result)
-    return pairs.dropDuplicates(["id_1", "id_2"])
+def window_pairs(rows: DataFrame, window: int = WINDOW, task_rows: int = TASK_ROWS) -> DataFrame:
+    """All pairs of different sources within ``window`` places of an order, with their fields compared.
+
+    Pairs that are near in a rare word or a name carry their common words (said_1,
+    said_2, called_1, called_2); the others have nulls there. Rows get their exact rank
+    over all partitions; blocks of ``task_rows`` ranks with the next ``window`` ranks
+    repeated are compared apart, so no pair is lost between tasks and no task holds a
+    whole order.
+    """
+    return _window_rows(rows, window, task_rows, None).dropDuplicates(["id_1", "id_2"]).filter("id_1 IS NOT NULL").drop("heard", "read", "n")
 
 
 def _together(pairs: DataFrame, a: str, b: str, size: int) -> np.ndarray:
@@ -256,14 +278,20 @@ def associations(met: np.ndarray, base: np.ndarray) -> np.ndarray:
     return np.clip((given - base) / np.maximum(1 - base, 1e-6), 0, 1)
 
 
-def agreement(x: list[int], y: list[int], link: np.ndarray, weight: np.ndarray) -> float:
+def agreement(x: list[int], y: list[int], link: list[list[float]], weight: list[float]) -> float:
     """How far the common words of two sides stand for each other, weighed by rarity; -1 if one side has none."""
     if not x or not y:
         return -1.0
-    block = link[np.ix_(x, y)]
-    wx, wy = weight[x], weight[y]
-    forth, back = float((block.max(1) * wx).sum() / wx.sum()), float((link[np.ix_(y, x)].max(1) * wy).sum() / wy.sum())
-    return max(forth, back)
+    forth = back = wide = deep = 0.0
+    for i in x:
+        row, w = link[i], weight[i]
+        forth += w * max([row[j] for j in y])
+        wide += w
+    for j in y:
+        row, w = link[j], weight[j]
+        back += w * max([row[i] for i in x])
+        deep += w
+    return max(forth / wide, back / deep)
 
 
 _BINS = np.array([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
@@ -339,27 +367,32 @@ def learn_weights(patterns: dict[tuple[int, ...], float], tolerance: float = 1e-
     return prior, {f: w.tolist() for f, w in weights.items()}
 
 
-def score_pairs(pairs: DataFrame, records: DataFrame, said: dict[str, int], called: dict[str, int], n: int, least: float = 0.75) -> DataFrame:
-    """(id_1, id_2, source_1, source_2, confidence) of all candidate pairs that can reach ``least``.
+def score_pairs(rows: DataFrame, records: DataFrame, said: dict[str, int], called: dict[str, int], n: int, least: float = 0.75, window: int = WINDOW) -> DataFrame:
+    """(id_1, id_2, source_1, source_2, confidence) of all pairs within a window that can reach ``least``.
 
     Pairs near in a rare word and equal in a number are sure enough to learn which
     common words stand for each other. Weights are learned from all pairs; common words
-    count as silent there unless a rare word or name is near. Of those other pairs, the
-    ones are compared in full whose fields, with the best agreement of common words
-    there is, could still reach ``least``.
+    count as silent there unless a rare word or name is near, and pairs that agree in
+    no field are only counted, once an order. Of the pairs without a near word, those
+    are compared in full whose fields, with the best agreement of common words there
+    is, could still reach ``least``; if pairs that agree in no field are among them,
+    the windows are read again for these.
     """
-    pairs = materialize(pairs)
-    near = pairs.filter("said_1 IS NOT NULL")
+    # pairs that are silent on rare words and numbers, not on the rest, are kept at once: they may well reach it
+    open_ = {(SILENT, SILENT, name, True, read) for name in (SILENT, DIFFERENT) for read in (True, False)}
+    found = materialize(_window_rows(rows, window, TASK_ROWS, open_))
+    pairs = materialize(found.filter("id_1 IS NOT NULL").dropDuplicates(["id_1", "id_2"]))
+    near, far = pairs.filter("said_1 IS NOT NULL"), pairs.filter("said_1 IS NULL")
     sure = near.filter(F.col("terms").isin(EQUAL, NEAR) & (F.col("numbers") == EQUAL))
     vocab = [_descriptive(said), sorted(called)]
     counts = [np.array([d[w] for w in v], dtype=float) if v else np.zeros(0) for d, v in ((said, vocab[0]), (called, vocab[1]))]
-    weights = [np.log(np.maximum(n / np.maximum(c, 1), 1.0001)) for c in counts]
+    weights = [np.log(np.maximum(n / np.maximum(c, 1), 1.0001)).tolist() for c in counts]
     sides = (("said_1", "said_2"), ("called_1", "called_2"))
     links = []
     for (a, b), c in zip(sides, counts, strict=True):
         met = _together(sure, a, b, len(c)) if len(c) else np.zeros((0, 1))
         link = associations(met, c / max(n, 1))
-        links.append(link if met.sum() > 200 else np.eye(len(c)))
+        links.append((link if met.sum() > 200 else np.eye(len(c))).tolist())
     kept = ["id_1", "id_2", "source_1", "source_2", "terms", "numbers", "names"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,14 +414,24 @@ def score_pairs(pairs: DataFrame, records: DataFrame, said: dict[str, int], call
     kind = pairs.schema["id_1"].dataType.simpleString()
     schema = f"id_1 {kind}, id_2 {kind}, {_CODED}, said int, called int"
     binned = materialize(near.mapInArrow(run, schema))
-    far = pairs.filter("said_1 IS NULL")
-    every = binned.select(*FIELDS).unionByName(far.select("terms", "numbers", "names", F.lit(0).alias("said"), F.lit(0).alias("called")))
-    patterns = {tuple(r[f] for f in FIELDS): r["n"] for r in every.groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the product of FIELDS
+    # each at most the product of FIELDS
+    patterns = Counter({tuple(r[f] for f in FIELDS): r["n"] for r in binned.groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("n")).collect()})
+    apart = found.filter("id_1 IS NULL").groupBy("terms", "numbers", "names", "heard", "read").agg(F.sum("n").alias("n")).collect()
+    for r in [*far.groupBy("terms", "numbers", "names").agg(F.count(F.lit(1)).alias("n")).collect(), *apart]:
+        patterns[r["terms"], r["numbers"], r["names"], 0, 0] += r["n"]
     prior, odds = learn_weights(patterns)
     logit = math.log(least / (1 - least)) if 0 < least < 1 else -math.inf
+    most = {f: max(odds[f]) for f in ("said", "called")}
+    missed = {
+        (r["terms"], r["numbers"], r["names"], r["heard"], r["read"]) for r in apart
+        if prior + odds["terms"][r["terms"]] + odds["numbers"][r["numbers"]] + odds["names"][r["names"]] + most["said"] * r["heard"] + most["called"] * r["read"] >= logit
+    }
+    if missed:
+        again = _window_rows(rows, window, TASK_ROWS, missed).filter("id_1 IS NOT NULL AND said_1 IS NULL AND numbers <> 1")
+        far = far.unionByName(materialize(again.dropDuplicates(["id_1", "id_2"])))
     base = F.lit(prior) + sum((_column(F.col(f), odds[f]) for f in ("terms", "numbers", "names")), F.lit(0.0))
-    # any further pair whose fields leave it a chance is compared in full
-    chance = far.filter(base + max(odds["said"]) + max(odds["called"]) >= logit).select(*kept)
+    best = F.col("heard").cast("double") * most["said"] + F.col("read").cast("double") * most["called"]
+    chance = far.filter(base + best >= logit).select(*kept)
     own = lambda i: records.select(F.col("id").alias(f"id_{i}"), F.col("said").alias(f"said_{i}"), F.col("called").alias(f"called_{i}"))
     others = chance.join(own(1), "id_1").join(own(2), "id_2").select(*kept, "said_1", "said_2", "called_1", "called_2").mapInArrow(run, schema)
     score = base + _column(F.col("said"), odds["said"]) + _column(F.col("called"), odds["called"])
@@ -559,7 +602,7 @@ def match_entities(resources: DataFrame, labels: DataFrame, schemes: list[str],
     ranked = with_rank(texts.mapInArrow(_split(said, called), _RECORD), ["id"], "_n")
     names = materialize(ranked.select(F.col("_n").alias("n"), "id"))
     records = materialize(ranked.drop("id").withColumnRenamed("_n", "id"))
-    scored = score_pairs(window_pairs(sort_rows(records), window), records, said, called, n, least)
+    scored = score_pairs(materialize(sort_rows(records)), records, said, called, n, least, window)
     chosen = assign(scored, least)
     own = lambda i: names.select(F.col("n").alias(f"n_{i}"), F.col("id").alias(f"id_{i}"))
     numbered = chosen.select(F.col("id_1").alias("n_1"), F.col("id_2").alias("n_2"), "confidence")
