@@ -48,23 +48,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """This application's folder under ``spark.checkpoint.dir``.
+    """This application's folder under ``spark.checkpoint.dir``, deleted when the driver ends.
 
-    The setting is read from the session. Only where it is unset (tests, a
-    single machine) a temporary folder takes its place.
+    The setting is read from the session. Where it is unset, a session within one
+    machine (tests) gets a temporary folder; a cluster's session is an error, since its
+    executors share no such folder.
     """
     ship_package(spark)
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         base = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
-        if base:
-            _OWN[app] = f"{base.rstrip('/')}/lexmesh-{app}-{uuid.uuid4().hex[:8]}"
-        else:
-            _OWN[app] = local = tempfile.mkdtemp(prefix="lexmesh-")
-            atexit.register(shutil.rmtree, local, ignore_errors=True)
+        if not base and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if not base:
+            base = tempfile.mkdtemp(prefix="lexmesh-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
+        _OWN[app] = f"{base.rstrip('/')}/lexmesh-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_clear, spark, _OWN[app])
     return _OWN[app]
 
 
+def _clear(spark: SparkSession, path: str) -> None:
+    """Delete a folder at the driver's end, if its session still lives."""
+    try:
+        if spark.sparkContext._jsc is not None:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session is gone; the folder stays for its owner to clear
+        pass
+
+
 def _context_dir(spark: SparkSession) -> str | None:
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     return found.get() if found.isDefined() else None
