@@ -8,22 +8,24 @@ an automaton over all members rewrites texts greedily, longest match first.
 
 from __future__ import annotations
 
+import string
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmesh.functions.keys import strip_key
 
-#: Letters of different scripts with one shape, a class per group.
+#: Letters of different scripts with one shape, a class per group; the published table of
+#: confusable characters adds further scripts where the session can read it.
 SAME_SHAPE = """
 AΑАᎪ BΒВᏴ CСϹⅭ DⅮᎠ EΕЕᎬ FϜ GԌ HΗНᎻ IΙІӀⅠ JЈͿ KΚКK LⅬᏞ MΜМϺⅯ NΝ OΟОՕ PΡРᏢ QԚ SЅՏ TΤТᎢ VⅤѴ WԜ XΧХⅩ YΥҮ ZΖᏃ
-aаɑ bⅽ̸ cсϲⅽ dԁⅾ eе gɡց hһհ iіⅰ jјϳ lⅼ mⅿ nո oоοօ pрⲣ qԛ sѕ uսʋ vνѵⅴ wԝ xхⅹ yу
+aаɑ cсϲⅽ dԁⅾ eе gɡց hһհ iіⅰ jјϳ lⅼ mⅿ nո oоοօ pрⲣ qԛ sѕ uսʋ vνѵⅴ wԝ xхⅹ yу
 ГΓ ПΠ ФΦ ЛΛ κкĸ зɜ эɛ
-""".replace("bⅽ̸ ", "").split()
+""".split()
 #: Hyphens of one shape, with the one of ASCII first.
 HYPHENS = "-‐‑"
 #: Marks that are blank though Unicode doesn't class them as invisible or space.
@@ -77,8 +79,43 @@ class Classes:
         return [sorted(v) for v in out.values() if len(v) > 1]
 
 
-def look_alike_classes(code_points: Iterable[str]) -> list[list[str]]:
-    """Classes of strings that display alike, for the code points that occur."""
+def prototypes(spark: SparkSession, code_points: Iterable[str]) -> dict[str, str]:
+    """Each letter to the string it may be taken for by Unicode's table of confusable characters, read by the driver's JVM."""
+    letters = sorted(c for c in code_points if unicodedata.category(c)[0] == "L")
+    mark = "\ue000"
+    checker = spark.sparkContext._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    return dict(zip(letters, checker.getSkeleton(mark.join(letters)).split(mark), strict=True)) if letters else {}
+
+
+def _script(ch: str) -> str:
+    return unicodedata.name(ch, "").partition(" ")[0]
+
+
+def cross_script_ties(confusable: dict[str, str], classes: Classes) -> None:
+    """Tie letters of one case that are taken for the same string, if their class has no letter of that script yet.
+
+    Letters of one script are told apart by its readers however alike they are, so a
+    class never gains a second one of a script.
+    """
+    groups: dict[tuple[str, bool, bool], list[str]] = defaultdict(list)
+    for ch, like in confusable.items():
+        if unicodedata.normalize("NFD", ch) == ch:
+            groups[like, ch.isupper(), ch.islower()].append(ch)
+    scripts = {root: {_script(m) for m in ms if len(m) == 1} for ms in classes.members() for root in [classes.find(ms[0])]}
+    for (_, upper, lower), members in sorted(groups.items()):
+        if not (upper or lower):
+            continue
+        first = min(members, key=lambda c: (not c.isascii(), c))
+        for ch in sorted(members):
+            a, b = classes.find(first), classes.find(ch)
+            have, more = scripts.get(a, {_script(first)}), scripts.get(b, {_script(ch)})
+            if a != b and not have & more:
+                classes.tie(a, b)
+                scripts[classes.find(a)] = have | more
+
+
+def look_alike_classes(code_points: Iterable[str], confusable: dict[str, str] | None = None) -> list[list[str]]:
+    """Classes of strings that display alike, for the code points that occur; ``confusable`` as from ``prototypes``."""
     classes = Classes()
     for group in SAME_SHAPE:
         for ch in group[1:]:
@@ -89,6 +126,7 @@ def look_alike_classes(code_points: Iterable[str]) -> list[list[str]]:
         like = equal_forms(ch)
         if like is not None and like != ch:
             classes.tie(ch, like)
+    cross_script_ties(confusable or {}, classes)
     return classes.members()
 
 
@@ -142,7 +180,6 @@ def rewrite(text: str, auto) -> str:
 
 
 
-
 class PlainForms:
     """Forms for comparing texts without corpus counts: the smallest member of a class stands.
 
@@ -206,7 +243,8 @@ def canonical_labels(labels: DataFrame) -> DataFrame:
     by_lang: dict[str, Counter] = defaultdict(Counter)
     for r in character_counts(labels.select(primary_language(F.col("language")).alias("lang"), "value").dropna()).collect():
         by_lang[r["lang"]][r["ch"]] = r["n"]
-    classes = look_alike_classes({ch for of in by_lang.values() for ch in of})
+    known = {ch for of in by_lang.values() for ch in of}
+    classes = look_alike_classes(known, prototypes(labels.sparkSession, known | set(string.ascii_letters)))
     rewrites = {lang: representatives(classes, of) for lang, of in by_lang.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +260,14 @@ def canonical_labels(labels: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id string, resource string, lang string, value string, canonical string")
 
 
+def alike_members(canonical: DataFrame) -> DataFrame:
+    """(label, standing, labels): labels that display like another of their resource and language, each with the smallest
+    id of its class, which stands for it, and the number of labels there. One row a label and class, whatever its size."""
+    key = ["resource", "lang", "canonical"]
+    classes = canonical.groupBy(*key).agg(F.min("id").alias("standing"), F.count_distinct("id").alias("labels"), F.min("value").alias("_a"), F.max("value").alias("_b")).filter("_a <> _b AND labels > 1")
+    return canonical.select(*key, F.col("id").alias("label")).distinct().join(classes, key).select("label", "standing", "labels").distinct()
+
+
 def alike_pairs(canonical: DataFrame, group_rows: int = 2_000) -> DataFrame:
     """(label_1, label_2): different labels of a resource and language that display alike but aren't the same characters.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmesh.llm.consensus import consensus
 from lexmesh.llm.groups import all_concept_groups, concept_groups
-from lexmesh.llm.lookalike import alike_pairs, canonical_labels
+from lexmesh.llm.lookalike import alike_members, alike_pairs, canonical_labels
 from lexmesh.llm.matching import match_entities
 from lexmesh.llm.mixing import mix_sources
 from lexmesh.llm.packing import container_fill, pack_documents
@@ -48,6 +48,10 @@ def p5_canonical(spark: SparkSession, d: str) -> DataFrame:
     return canonical_labels(table(spark, d, "atlas_labels"))
 
 
+def p5_members(spark: SparkSession, d: str) -> DataFrame:
+    return alike_members(materialize(canonical_labels(table(spark, d, "atlas_labels"))))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = match_entities(table(spark, d, "atlas_resources"), table(spark, d, "atlas_labels"), MATCHED_SCHEMES)
     return pairs.select(F.col("id_1").alias("resource_1"), F.col("id_2").alias("resource_2"))
@@ -105,5 +109,5 @@ SQL = {
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_groups, p2_found, p2_items, p2_reviewers, p5_found, p5_canonical, p7_found, p7_matches, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_scores)
+    for f in (p1_found, p1_groups, p2_found, p2_items, p2_reviewers, p5_found, p5_canonical, p5_members, p7_found, p7_matches, p8_containers, p8_fill, p9_mixture, p9_shares, p10_found, p10_scores)
 }

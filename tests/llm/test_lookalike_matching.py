@@ -115,3 +115,22 @@ def test_windows_cross_task_borders(spark):
 
 def test_matching_empty(spark):
     assert M.match_entities(spark.createDataFrame([], RES), spark.createDataFrame([], LB), ["A", "B"]).count() == 0
+
+
+def test_confusables_tie_scripts_not_letters_of_one(spark):
+    from lexmesh.llm.lookalike import Classes, cross_script_ties, prototypes
+
+    classes = Classes()
+    confusable = prototypes(spark, set("aοσоoАAΑɑ"))
+    cross_script_ties(confusable, classes)
+    same = lambda a, b: classes.find(a) == classes.find(b)
+    assert same("o", "о") and same("A", "А") and same("A", "Α")
+    assert not same("ο", "σ") and not same("a", "A") and not same("a", "ɑ")
+    assert prototypes(spark, set()) == {}
+
+
+def test_members_stand_for_pairs(spark):
+    data = [("l1", "r", "en", "kelp"), ("l2", "r", "EN", "kеlp"), ("l3", "r", "en", "kelp "), ("l4", "r", "en", "weed"), ("l5", "r", "en", "weed"), ("l2", "r", "EN", "kеlp")]
+    from lexmesh.llm.lookalike import alike_members
+
+    assert rows(alike_members(canonical_labels(spark.createDataFrame([(*d, "x") for d in data], LAB)))) == [("l1", "l1", 3), ("l2", "l1", 3), ("l3", "l1", 3)]
