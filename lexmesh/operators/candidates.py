@@ -242,6 +242,81 @@ def sparse_scores(s: DataFrame, t: DataFrame, hot_pairs: int = HOT_PAIRS) -> Dat
     return dot.join(na, "source").join(nb, "target").select("source", "target", F.round(F.col("dot") / (F.col("_na") * F.col("_nb")), 9).alias("score"))
 
 
+def sparse_best(s: DataFrame, t: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(source, target, score, forth, back): pairs that may be among the ``k`` best of their source (forth) or target (back).
+
+    Both sides are cut into blocks of about ``block_rows`` members; every block of one
+    meets every block of the other in a task of its own, which multiplies their features
+    (common ones as dense blocks, rare ones along their members) and keeps the best of
+    each row and column, ties included. Neither side passes through the driver, and only
+    kept pairs are written. Scores are those of ``sparse_scores``; the ranks' ties are
+    left to ``best_of``.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    sides, counts = [], []
+    for side in (s, t):
+        # a member's features are bounded by its texts
+        packed = side.groupBy("member").agg(F.collect_list(F.struct("feature", F.col("w").cast("double").alias("w"))).alias("e"), F.sqrt(F.sum(F.col("w").cast("double") * F.col("w").cast("double"))).alias("norm"))
+        packed = materialize(packed.select("member", "norm", F.col("e.feature").alias("features"), F.col("e.w").alias("weights")))
+        sides.append(packed)
+        counts.append(max(1, -(-packed.count() // block_rows)))
+    own = lambda i: F.pmod(F.xxhash64("member"), F.lit(counts[i])).cast("int")
+    every = lambda i: F.explode(F.sequence(F.lit(0), F.lit(counts[i] - 1)))
+    left = sides[0].select("*", own(0).alias("x"), every(1).alias("y"))
+    right = sides[1].select("*", every(0).alias("x"), own(1).alias("y"))
+
+    def entries(table: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """Row numbers, features and weights of a block."""
+        lists = table.column("features").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        return np.repeat(np.arange(len(sizes)), sizes), lists.flatten(), table.column("weights").combine_chunks().flatten().to_numpy()
+
+    def multiply(a: pa.Table, b: pa.Table) -> pa.Table:
+        n, m = len(a), len(b)
+        (ra, fa, wa), (rb, fb, wb) = entries(a), entries(b)
+        codes = pa.concat_arrays([fa, fb]).dictionary_encode().indices.to_numpy()
+        ca, cb, size = codes[: len(fa)], codes[len(fa) :], int(codes.max(initial=-1)) + 1
+        xa, xb = np.bincount(ca, minlength=size), np.bincount(cb, minlength=size)
+        dots = np.zeros((n, m))
+        hot = np.flatnonzero(xa * xb > HOT_PAIRS)
+        for at in range(0, len(hot), 2048):
+            place = np.full(size, -1)
+            place[hot[at : at + 2048]] = np.arange(len(hot[at : at + 2048]))
+            dense = []
+            for rows, code, w, height in ((ra, ca, wa, n), (rb, cb, wb, m)):
+                out = np.zeros((height, len(hot[at : at + 2048])))
+                here = place[code] >= 0
+                out[rows[here], place[code[here]]] = w[here]
+                dense.append(out)
+            dots += dense[0] @ dense[1].T
+        oa, ob = np.argsort(ca, kind="stable"), np.argsort(cb, kind="stable")
+        sa, sb = np.r_[0, np.cumsum(xa)], np.r_[0, np.cumsum(xb)]
+        rare = np.flatnonzero((xa > 0) & (xb > 0) & (xa * xb <= HOT_PAIRS))
+        for f in rare.tolist():
+            i, j = oa[sa[f] : sa[f + 1]], ob[sb[f] : sb[f + 1]]
+            dots[np.ix_(ra[i], rb[j])] += np.outer(wa[i], wb[j])
+        na, nb = a.column("norm").to_numpy(), b.column("norm").to_numpy()
+        score = np.where(dots > 0, dots / np.maximum(np.outer(na, nb), 1e-300), -1.0)
+        edge = 2e-9  # scores are rounded to nine places later
+        forth, back = (score >= np.partition(score, -k, axis=d).take([-k], axis=d) - edge if score.shape[d] > k else np.ones_like(score, dtype=bool) for d in (1, 0))
+        i, j = np.nonzero((forth | back) & (score > 0))
+        return pa.table({"source": a.column("member").take(pa.array(i)), "target": b.column("member").take(pa.array(j)), "dot": dots[i, j], "na": na[i], "nb": nb[j], "forth": forth[i, j], "back": back[i, j]})
+
+    schema = "source string, target string, dot double, na double, nb double, forth boolean, back boolean"
+    kept = left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInArrow(multiply, schema)
+    return kept.select("source", "target", F.round(F.col("dot") / (F.col("na") * F.col("nb")), 9).alias("score"), "forth", "back")
+
+
+def best_of(best: DataFrame, k: int) -> DataFrame:
+    """(source, target, source_rank, target_rank) out of ``sparse_best``, as ``bidirectional`` ranks all scores."""
+    best = materialize(best)
+    forth = top_k(best.filter("forth"), k).select("source", "target", F.col("rank").alias("source_rank"))
+    back = top_k(best.filter("back"), k, "target", "source").select("source", "target", F.col("rank").alias("target_rank"))
+    return forth.join(back, ["source", "target"], "full")
+
+
 def top_k(scores: DataFrame, k: int, by: str = "source", other: str = "target", positive: bool = True) -> DataFrame:
     """Scores with rank: the k best per ``by``, ties to the smaller other end; zero and negative scores take no rank."""
     kept = scores.filter("score > 0") if positive else scores

@@ -123,6 +123,10 @@ def _scores(a: Atlas, features=_features):
     return materialize(C.sparse_scores(*C.weighted(*[materialize(f) for f in features(a)])))
 
 
+def _best(a: Atlas, features=_features):
+    return C.best_of(C.sparse_best(*C.weighted(*[materialize(f) for f in features(a)]), 5), 5)
+
+
 def _norms(w):
     return w.groupBy("member").agg(F.count(F.lit(1)).alias("features"), F.sum("w").alias("weight"))
 
@@ -135,9 +139,9 @@ B.add("cg1_features", f"WITH {_FEAT} SELECT * FROM sf")(lambda a: _features(a)[0
 B.add("cg2_weighted", f"WITH {_W} SELECT member, feature, CAST(w AS BIGINT) AS w FROM sw")(lambda a: C.weighted(*_features(a))[0])
 B.add("ag17_norms", f"WITH {_W} SELECT member, count(*) AS features, CAST(sum(w) AS BIGINT) AS weight FROM sw GROUP BY 1")(lambda a: _norms(C.weighted(*_features(a))[0]))
 B.add("cg3_sparse_scores", f"WITH {_SCORE} SELECT source, target, score FROM score")(_scores)
-B.add("cg4_bidirectional", f"WITH {_TOP} SELECT * FROM bi")(lambda a: C.bidirectional(_scores(a), 5))
-B.add("wn2_top_k", f"WITH {_TOP} SELECT source, target, source_rank AS rank FROM fr")(lambda a: C.top_k(_scores(a), 5).select("source", "target", "rank"))
-B.add("cg21_mutual_best", f"WITH {_TOP} SELECT source, target FROM bi WHERE source_rank = 1 AND target_rank = 1")(lambda a: C.mutual_best(C.bidirectional(_scores(a), 5)))
+B.add("cg4_bidirectional", f"WITH {_TOP} SELECT * FROM bi")(_best)
+B.add("wn2_top_k", f"WITH {_TOP} SELECT source, target, source_rank AS rank FROM fr")(lambda a: _best(a).filter("source_rank IS NOT NULL").select("source", "target", F.col("source_rank").alias("rank")))
+B.add("cg21_mutual_best", f"WITH {_TOP} SELECT source, target FROM bi WHERE source_rank = 1 AND target_rank = 1")(lambda a: C.mutual_best(_best(a)))
 B.add("jn22_shared_features", f"WITH {_FEAT} SELECT sf.member AS source, tf.member AS target, count(*) AS n FROM sf JOIN tf USING (feature) GROUP BY ALL")(
     lambda a: _shared(*_features(a))
 )
@@ -146,9 +150,9 @@ B.add("cg1_features_all_fields")(lambda a: _all_features(a)[0])
 B.add("cg2_weighted_all_fields")(lambda a: C.weighted(*_all_features(a))[0])
 B.add("ag17_norms_all_fields")(lambda a: _norms(C.weighted(*_all_features(a))[0]))
 B.add("cg3_sparse_scores_all_fields")(lambda a: _scores(a, _all_features))
-B.add("cg4_bidirectional_all_fields")(lambda a: C.bidirectional(_scores(a, _all_features), 5))
-B.add("wn2_top_k_all_fields")(lambda a: C.top_k(_scores(a, _all_features), 5).select("source", "target", "rank"))
-B.add("cg21_mutual_best_all_fields")(lambda a: C.mutual_best(C.bidirectional(_scores(a, _all_features), 5)))
+B.add("cg4_bidirectional_all_fields")(lambda a: _best(a, _all_features))
+B.add("wn2_top_k_all_fields")(lambda a: _best(a, _all_features).filter("source_rank IS NOT NULL").select("source", "target", F.col("source_rank").alias("rank")))
+B.add("cg21_mutual_best_all_fields")(lambda a: C.mutual_best(_best(a, _all_features)))
 B.add("jn22_shared_features_all_fields")(lambda a: _shared(*_all_features(a)))
 _IDN = "SELECT DISTINCT r.id AS member, unnest(r.notations) AS identifier FROM atlas_resources r WHERE r.scheme = '{0}'"
 B.add("cg5_exact_identifiers", f"WITH s AS ({_IDN.format(SCHEME_A)}), t AS ({_IDN.format(SCHEME_B)}) SELECT s.member AS source, t.member AS target, min(identifier) AS identifier FROM s JOIN t USING (identifier) GROUP BY ALL")(
