@@ -210,3 +210,13 @@ def token_set_ratio(a: Column, b: Column) -> Column:
     base = F.array_join(both, " ")
     left, right = F.trim(F.concat_ws(" ", base, F.array_join(x, " "))), F.trim(F.concat_ws(" ", base, F.array_join(y, " ")))
     return F.greatest(F.when(F.size(both) > 0, F.greatest(edit_ratio(base, left), edit_ratio(base, right))).otherwise(F.lit(0.0)), edit_ratio(left, right))
+
+
+def digest_sums(line: Column) -> list[Column]:
+    """Aggregates of the eight 32-bit words of the SHA-256 of lines; joined by ``digest_text`` they digest rows in any order."""
+    full = F.sha2(line, 256)
+    return [F.sum(F.conv(F.substring(full, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"_d{i}") for i in range(8)]
+
+
+def digest_text() -> Column:
+    return F.concat_ws("-", *[F.col(f"_d{i}").cast("string") for i in range(8)])

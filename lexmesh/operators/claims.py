@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmesh.functions.text import digest_sums, digest_text
 from lexmesh.functions.labels import english_family
 
 
@@ -60,9 +61,9 @@ def claim_relations(claims: DataFrame, members: DataFrame, predicates: dict[str,
 
 
 def release_digests(claims: DataFrame, by: str) -> DataFrame:
-    """(by, claims, digest): an order-free digest of each release's claims, summed from row hashes."""
-    line = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(claims.columns)])
-    return claims.groupBy(by).agg(F.count(F.lit(1)).alias("claims"), F.sum(F.conv(F.substring(F.sha2(line, 256), 1, 12), 16, 10).cast("decimal(38,0)")).cast("string").alias("digest"))
+    """(by, claims, digest): an order-free digest of each release's claims, summed from whole SHA-256 digests of rows."""
+    line = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in sorted(claims.columns)])
+    return claims.groupBy(by).agg(F.count(F.lit(1)).alias("claims"), *digest_sums(line)).select(by, "claims", digest_text().alias("digest"))
 
 
 def language_audit(labels: DataFrame) -> DataFrame:

@@ -8,31 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmesh.operators.forests import forest_groups
 from lexmesh.storage import discard, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): the smallest node connected to each node on an edge.
-
-    Alternates two star contractions: larger neighbours are tied to the smallest
-    neighbour, then smaller ones to it as well, until every tree is a star.
-    """
-    state = materialize(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while True:
-        # large star: each node's larger neighbours go to the smallest of itself and its neighbours
-        both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        # small star: each node's smaller neighbours, and itself, go to the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        nxt = materialize(small)
-        moved = nxt.join(state, ["a", "b"], "left_anti").isEmpty() and state.join(nxt, ["a", "b"], "left_anti").isEmpty()
-        discard(state)
-        state = nxt
-        if moved:
-            break
-    return state.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    """(node, root): the smallest node connected to each node on an edge to another one, by union-find in cells."""
+    return forest_groups(edges.filter(F.col(a) != F.col(b)), a, b)
 
 
 def component_sizes(found: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmesh.functions.text import digest_sums, digest_text
 from lexmesh.schema import LABEL_ROLES, RELEASE_TYPES, STATEMENT_TYPES, outside
 
 
@@ -249,4 +250,6 @@ def effective(attestations: DataFrame, at: str) -> DataFrame:
 def coverage_block(derived: DataFrame) -> DataFrame:
     """(derivation_rule, predicate, edges, stamps, digest): counts, generation stamps, and a digest free of row order."""
     line = F.concat_ws("|", "subject", "predicate", "object")
-    return derived.groupBy("derivation_rule", "predicate").agg(F.count(F.lit(1)).alias("edges"), F.count_distinct("generated_at").alias("stamps"), F.sum(F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")).alias("digest"))
+    sums = derived.groupBy("derivation_rule", "predicate").agg(F.count(F.lit(1)).alias("edges"), F.count_distinct("generated_at").alias("stamps"))
+    whole = derived.groupBy("derivation_rule", "predicate").agg(*digest_sums(line)).select("derivation_rule", "predicate", digest_text().alias("digest"))
+    return sums.join(whole, ["derivation_rule", "predicate"])

@@ -55,6 +55,11 @@ ROLE = "CASE label_role WHEN 'preferred' THEN 0 WHEN 'alternate' THEN 1 WHEN 'hi
 LOCAL = "regexp_extract({0}, '([^#/:]+)[/#:]?$', 1)"
 
 
+def digest_sql(line: str) -> str:
+    """An order-free digest of lines: sums of the eight words of their SHA-256."""
+    return " || '-' || ".join(f"CAST(sum(CAST('0x' || substr(sha256({line}), {1 + 8 * i}, 8) AS BIGINT)) AS VARCHAR)" for i in range(8))
+
+
 def shown(column: str) -> str:
     return f"({column} IS NULL OR lower({column}) NOT LIKE '%deprecated%')"
 

@@ -9,7 +9,7 @@ from lexmesh.functions.text import fisher_exact, wilson
 from lexmesh.operators import claims as K
 from lexmesh.operators import evaluate as V
 from lexmesh.operators.ranks import with_rank
-from lexmesh.plans.base import RELEASE, Atlas, Book
+from lexmesh.plans.base import RELEASE, Atlas, Book, digest_sql
 from lexmesh.schema import conform
 from lexmesh.sources import formats, store
 from lexmesh.storage import materialize, scratch_dir
@@ -185,7 +185,7 @@ def _family():
 B.add("in2_claim_relations", "SELECT DISTINCT subject, CASE predicate WHEN 'skos:broader' THEN 'broader' ELSE 'related' END AS predicate, object FROM atlas_statements WHERE predicate IN ('skos:broader', 'skos:related') AND subject IN (SELECT id FROM atlas_resources) AND object IN (SELECT id FROM atlas_resources)")(
     lambda a: K.claim_relations(a.statements.select("subject", "predicate", F.lit("iri").alias("object_kind"), F.col("object").alias("value")), a.resources, {"skos:broader": "broader", "skos:related": "related"})
 )
-B.add("in5_release_digests")(lambda a: K.release_digests(a.labels.select("release", "resource", "value", "language"), "release"))
+B.add("in5_release_digests", f"SELECT release, count(*) AS claims, {digest_sql('concat_ws(chr(31), ' + ', '.join(f'coalesce({c}, chr(30))' for c in ('language', 'release', 'resource', 'value')) + ')')} AS digest FROM atlas_labels GROUP BY 1")(lambda a: K.release_digests(a.labels.select("release", "resource", "value", "language"), "release"))
 B.add("in7_language_audit", "SELECT language, count(*) AS labels, count(DISTINCT resource) AS resources, bool_or(regexp_matches(lower(trim(language)), '^en([-_].*)?$')) AS english FROM atlas_labels GROUP BY 1")(lambda a: K.language_audit(a.labels))
 _UNITS = ("urn:vx:scheme:brineworks", "urn:vx:scheme:lodestar", "urn:vx:scheme:nowhere")
 B.add("in8_unit_selection", f"SELECT scheme, count(*) AS rows, scheme IN {_UNITS} AS selected FROM atlas_resources GROUP BY 1")(lambda a: K.unit_selection(a.resources, "scheme", _UNITS))

@@ -12,7 +12,7 @@ from lexmesh.operators import candidates as C
 from lexmesh.operators import graph as G
 from lexmesh.operators import multiset as M
 from lexmesh.operators.explore import check_page
-from lexmesh.plans.base import Atlas, Book
+from lexmesh.plans.base import Atlas, Book, digest_sql
 from lexmesh.plans.matching import _PAIR, _VEC, TOKS, SQL as MATCHING, _dense, _pairs, _sides, _true_pairs, _up  # noqa: I001
 from lexmesh.sources import formats, store
 from lexmesh.storage import materialize, scratch_dir
@@ -86,18 +86,18 @@ def _controls(a: Atlas):
 
 B.add("cg8_random_controls")(_controls)
 B.add("cg9_side_guard")(lambda a: (C.check_sides(*_sides(a)), a.spark.createDataFrame([("sides are disjoint and not empty",)], "state string"))[1])
-B.add("cg11_order_free_digest", "SELECT generation_class, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(source || '>' || target), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM (" + MATCHING["cg7_candidate_classes"] + ") GROUP BY 1")(
+B.add("cg11_order_free_digest", f"SELECT generation_class, count(*) AS n, {digest_sql("source || '>' || target")} AS digest FROM (" + MATCHING["cg7_candidate_classes"] + ") GROUP BY 1")(
     lambda a: _digests(_classes(a))
 )
 B.add("cg11_order_free_digest_unmasked")(lambda a: _digests(_classes(a, "_unmasked")))
 
 
 def _digests(pairs):
-    return pairs.groupBy("generation_class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.conv(F.substring(F.md5(F.concat("source", F.lit(">"), "target")), 1, 8), 16, 10).cast("bigint")).alias("digest"))
+    return pairs.groupBy("generation_class").agg(F.count(F.lit(1)).alias("n"), *X.digest_sums(F.concat("source", F.lit(">"), "target"))).select("generation_class", "n", X.digest_text().alias("digest"))
 
 
-B.add("so5_canonical_order", "SELECT release, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(l), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM (SELECT DISTINCT release, concat_ws('|', id, resource, label_role, value, language) AS l FROM atlas_labels) GROUP BY 1")(
-    lambda a: a.labels.select("release", F.concat_ws("|", "id", "resource", "label_role", "value", "language").alias("l")).distinct().groupBy("release").agg(F.count(F.lit(1)).alias("n"), F.sum(F.conv(F.substring(F.md5("l"), 1, 8), 16, 10).cast("bigint")).alias("digest"))
+B.add("so5_canonical_order", f"SELECT release, count(*) AS n, {digest_sql('l')} AS digest FROM (SELECT DISTINCT release, concat_ws('|', id, resource, label_role, value, language) AS l FROM atlas_labels) GROUP BY 1")(
+    lambda a: a.labels.select("release", F.concat_ws("|", "id", "resource", "label_role", "value", "language").alias("l")).distinct().groupBy("release").agg(F.count(F.lit(1)).alias("n"), *X.digest_sums(F.col("l"))).select("release", "n", X.digest_text().alias("digest"))
 )
 
 # ---- text ---------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmesh.operators import integrity as I
-from lexmesh.plans.base import IDENTIFIERS, SOURCE_RECORDS, Atlas, Book
+from lexmesh.plans.base import IDENTIFIERS, SOURCE_RECORDS, Atlas, Book, digest_sql
 from lexmesh.schema import IRI_SHAPE, LANGUAGE_SHAPE, missing_values, shape_faults
 
 B = Book()
@@ -236,7 +236,7 @@ B.add(
 )(lambda a: I.effective(_attestations(a), "2024-06-01 00:00:00").select("id"))
 B.add(
     "iv29_derived_coverage",
-    f"WITH {_DERIVED} SELECT derivation_rule, predicate, count(*) AS edges, count(DISTINCT generated_at) AS stamps, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', subject, predicate, object)), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM derived GROUP BY ALL",
+    f"WITH {_DERIVED} SELECT derivation_rule, predicate, count(*) AS edges, count(DISTINCT generated_at) AS stamps, {digest_sql("concat_ws('|', subject, predicate, object)")} AS digest FROM derived GROUP BY derivation_rule, predicate",
 )(lambda a: I.coverage_block(_derived(a)))
 B.add("pf11_shape_faults", f"SELECT id, 'id' AS \"column\" FROM atlas_labels WHERE NOT regexp_matches(id, '{IRI_SHAPE.replace(chr(39), chr(39) * 2)}') OR id <> trim(id) UNION ALL SELECT id, 'language' FROM atlas_labels WHERE NOT regexp_matches(language, '{LANGUAGE_SHAPE}') OR language <> trim(language)")(
     lambda a: shape_faults(a.labels, {"id": IRI_SHAPE, "language": LANGUAGE_SHAPE})
