@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmesh.operators.skewjoin import join_unique
 from lexmesh.storage import materialize
 
 #: Function words of English, French, German and Spanish.
@@ -70,60 +71,84 @@ def _units(text: str) -> Iterator[str]:
                 yield " ".join(words[i : i + _UNIT_WORDS])
 
 
+#: A page is in a language of no list if fewer of its words are function words and fewer of its word pairs recur.
+FOREIGN_FUNCTION, FOREIGN_REPEATS = 0.08, 0.1
+#: Letters of scripts without blanks between words; each counts as a word.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
+_LINKISH = re.compile(r"[\[<]|https?://|www\.", re.I)
+
+
 def page_features(text: str | None) -> list[float]:
-    """FEATURES of one page over its whole text; null, empty and blank texts give zeros."""
+    """FEATURES of one page over its whole text; null, empty and blank texts give zeros.
+
+    A page in a language of no word list, told by few function words without recurring
+    word pairs, is judged by its words of up to three letters instead, which prose of any
+    language has.
+    """
     text = text or ""
-    chars = poor = linked = notes = 0.0
-    units = link_units = questions = 0
+    units: list[tuple] = []
     words_all: list[str] = []
-    function = offer = leet = upper = numbers = marks = hashes = seps = 0
+    function = single = offer = leet = upper = numbers = 0
     longest = run = 0
     for unit in _units(text):
-        units += 1
-        n = len(unit)
-        note = _NOTE.match(unit)
-        links = sum(len(m) for m in _LINK.findall(unit))
-        bare = _LINK.sub(" ", unit)
+        bare, links = unit, 0
+        if _LINKISH.search(unit):
+            links = sum(len(m) for m in _LINK.findall(unit))
+            bare = _LINK.sub(" ", unit)
+        note = unit.lstrip()[:1] == "[" and _NOTE.match(unit) is not None
+        if not bare.isascii():
+            bare = _UNSPACED.sub(r"\g<0> ", bare)
         words = _WORD.findall(bare)
         low = [w.lower() for w in words]
         plain = [w for w in low if not w.isdigit()]
         numbers += len(low) - len(plain)
-        f = 0
+        f = o = m = short = 0
         for w in plain:
-            if w in FUNCTION_WORDS or ("'" in w or "’" in w) and re.split("['’]", w)[0] + "e" in FUNCTION_WORDS or len(w) == 1:
+            if w in FUNCTION_WORDS or len(w) == 1 or not w.isalpha() and ("'" in w or "’" in w) and re.split("['’]", w)[0] + "e" in FUNCTION_WORDS:
                 f += 1
-                longest, run = max(longest, run), 0
+                if run > longest:
+                    longest = run
+                run = 0
             else:
                 run += 1
-        o = sum(w in OFFER_WORDS for w in plain)
-        m = sum(1 for w in plain if _MIXED.fullmatch(w))
-        function, offer, leet = function + f, offer + o, leet + m
+            if w in OFFER_WORDS:
+                o += 1
+            if len(w) <= 3:
+                short += 1
+                single += len(w) == 1
+            elif not w.isalpha() and _MIXED.fullmatch(w):
+                m += 1
+        m += sum(1 for w in plain if len(w) == 3 and not w.isalpha() and _MIXED.fullmatch(w))
         upper += sum(len(w) > 2 and w.isupper() for w in words)
-        marks += sum(unit.count(c) for c in ".?!")
-        hashes += unit.count("#")
-        seps += sum(unit.count(c) for c in "|*·»;,/>-")
+        function, offer, leet = function + f, offer + o, leet + m
         words_all += plain
-        if note and links:
-            notes += n  # a reference under a text
+        question = bool(plain) and plain[0] in QUESTION_WORDS and not unit.rstrip().endswith((".", "?", "!", ":")) and len(plain) <= 9
+        units.append((len(unit), links, note and links > 0, len(plain), f, o, m, short, question))
+    content = [w for w in words_all if w not in FUNCTION_WORDS]
+    pairs = Counter(zip(content, content[1:], strict=False))
+    total = max(len(content) - 1, 1)
+    k = max(len(words_all), 1)
+    repeats = sum(v for v in pairs.values() if v > 2) / total
+    foreign = (function - single) / k < FOREIGN_FUNCTION and repeats < FOREIGN_REPEATS
+    chars = poor = linked = 0.0
+    link_units = questions = 0
+    for n, links, reference, size, f, o, m, short, question in units:
+        if reference:  # a reference under a text
             continue
         chars += n
         linked += links
         link_units += links > 0
-        k = max(len(plain), 1)
-        question = bool(plain) and plain[0] in QUESTION_WORDS and not unit.rstrip().endswith((".", "?", "!", ":")) and len(plain) <= 9
         questions += question
-        if not plain or f / k < 0.12 or question or m / k > 0.3 or (o / k > 0.08 and f / k < 0.28):
+        share = (short if foreign else f) / max(size, 1)
+        if not size or share < 0.12 or question or m / size > 0.3 or (o / size > 0.08 and share < 0.28):
             poor += n
-    content = [w for w in words_all if w not in FUNCTION_WORDS]
-    pairs = Counter(zip(content, content[1:], strict=False))
-    total = max(len(content) - 1, 1)
-    k = max(len(words_all), 1)
     c = max(chars, 1.0)
+    marks, hashes, seps = (sum(text.count(x) for x in of) for of in (".?!", "#", "|*·»;,/>-"))
     # the chance that two content words of the page are equal: independent of length, unlike type-token ratios
     same = sum(v * (v - 1) for v in Counter(content).values()) / max(len(content) * (len(content) - 1), 1)
     return [
-        function / k, offer / k, leet / k, upper / k, numbers / (k + numbers), linked / c, link_units / max(units, 1), poor / c, marks / k, k / max(marks, 1) / 40,
-        same, sum(v for v in pairs.values() if v > 2) / total, max(pairs.values(), default=0) / total, hashes / k, seps / k, questions / max(units, 1), min(max(longest, run), 60) / 60,
+        function / k, offer / k, leet / k, upper / k, numbers / (k + numbers), linked / c, link_units / max(len(units), 1), poor / c, marks / k, k / max(marks, 1) / 40,
+        same, repeats, max(pairs.values(), default=0) / total, hashes / k, seps / k, questions / max(len(units), 1), min(max(longest, run), 60) / 60,
     ]
 
 
@@ -175,7 +200,7 @@ def spam_scores(documents: DataFrame, train_rows: int = 200_000, trees: int = 25
     mean = judged.agg(F.avg("page_score")).first()[0] or 0.0
     logit = lambda p: F.log((p + 1e-3) / (1 - p + 1e-3))
     rates = judged.groupBy("host").agg(((F.sum("page_score") + host_prior * mean) / (F.count(F.lit(1)) + host_prior)).alias("host_rate"))
-    both = judged.join(rates, "host")
+    both = join_unique(judged, rates, "host")
     odds = logit(F.col("page_score")) + host_weight * (logit(F.col("host_rate")) - logit(F.lit(mean)))
     return both.select("doc_id", "host", "page_score", "host_rate", (1 / (1 + F.exp(-odds))).alias("score"))
 

@@ -146,3 +146,15 @@ def test_spam_without_training_cases(spark):
     assert {r.doc_id for r in spam_pages(df).collect()} == {1, 2}
     assert spam_scores(df.filter("false")).count() == 0
     assert page_features(None) == page_features("")
+
+
+def test_prose_of_unlisted_languages_is_no_spam():
+    from lexmesh.llm.spam import FEATURES, page_features
+
+    poor = lambda text: page_features(text)[FEATURES.index("poor_chars")]
+    polish = "W latach sześćdziesiątych mieszkańcy wsi nad Wisłą zaczęli spisywać poziom wody, bo co kilka lat rzeka wylewała na pola. Z tych zapisków wynika, że największa powódź przyszła w maju i trwała do połowy czerwca."
+    russian = "В этом разделе описано, как редакторы сверяли старые записи с новыми. Если источник не дает определения, его берут из справочника, и это отмечают в примечании. По мнению комиссии, таких случаев не так много, но они есть."
+    chinese = "这份说明介绍了编辑如何核对旧记录。如果来源没有给出定义，就从手册中选取，并在备注中注明。委员会认为这种情况不多，但确实存在。"
+    assert [poor(x) for x in (polish, russian, chinese)] == [0.0, 0.0, 0.0]
+    keywords = "tani kredyt hipoteka tani kredyt bank tani kredyt hipoteka ranking kredyt tani kredyt online hipoteka tani kredyt bank kredyt tani kredyt"
+    assert poor(keywords) == 1.0 and poor("https://a.example/x\nhttps://b.example/y") == 1.0 and poor(None) == 0.0
