@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmesh.functions.labels import active, display_labels, local_name, ranked_labels
+from lexmesh.operators.ranks import with_rank
 
 #: Fixed value: release identifiers that name an endpoint release.
 ENDPOINT_NAME = r"(?i)endpoint"
@@ -91,9 +92,8 @@ def graph_nodes(resources: DataFrame, labels: DataFrame, release: str, status: s
     first = ranked_labels(labels.join(kept.withColumnRenamed("id", "resource"), "resource", "left_semi")).filter("label_rank = 1")
     label = F.coalesce(first["value"], F.nullif(local_name(kept["id"]), F.lit("")), kept["id"])
     named = kept.join(first, kept["id"] == first["resource"], "left").select("id", label.alias("label"))
-    # one release's nodes are what a client draws; the numbering needs their total order
-    order = Window.orderBy(F.lower("label"), "label", "id")
-    return named.select((F.row_number().over(order) - 1).alias("position"), "id", "label")
+    ranked = with_rank(named.withColumn("_low", F.lower("label")), ["_low", "label", "id"], "position")
+    return ranked.select(F.col("position").cast("int").alias("position"), "id", "label")
 
 
 def graph_edges(statements: DataFrame, nodes: DataFrame, release: str) -> DataFrame:

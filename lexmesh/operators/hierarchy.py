@@ -203,10 +203,16 @@ def on_cycle(hierarchy: DataFrame, edges: DataFrame, tree: str, child: str, pare
     return step.select("tree", F.col("to").alias("node")).distinct()
 
 
+#: Versions of up to this number are broadcast to the edges (about 10 MB).
+FEW_VERSIONS = 100_000
+
+
 def keyword_edges(edges: DataFrame, hierarchies: DataFrame) -> DataFrame:
     """(keyword_version, child, parent) of the source hierarchies, identifiers in one notation."""
     from lexmesh.functions.keys import hex32_uuid
 
-    versions = hierarchies.select("keyword_version", "source_sha256").distinct()
+    versions = materialize(hierarchies.select("keyword_version", "source_sha256").distinct())
+    if versions.count() <= FEW_VERSIONS:  # one version holds most edges, so they had better not be shuffled by it
+        versions = F.broadcast(versions)
     named = edges.select("source_sha256", hex32_uuid("child_uuid").alias("child"), hex32_uuid("parent_uuid").alias("parent"))
     return named.join(versions, "source_sha256").select("keyword_version", "child", "parent")

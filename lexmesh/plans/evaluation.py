@@ -10,7 +10,6 @@ from lexmesh.operators import claims as K
 from lexmesh.operators import evaluate as V
 from lexmesh.operators.ranks import with_rank
 from lexmesh.plans.base import RELEASE, Atlas, Book, digest_sql
-from lexmesh.schema import conform
 from lexmesh.sources import formats, store
 from lexmesh.storage import materialize, scratch_dir
 
@@ -232,7 +231,6 @@ B.add("sc3_discovered_columns", "SELECT source_concept AS subject, relation AS p
 )
 B.add("sc4_projected_scan", "SELECT id, semantic_ring FROM atlas_resources")(lambda a: a.resources.select("id", "semantic_ring"))
 B.add("sc5_set_filter", "SELECT id FROM atlas_labels WHERE resource IN (SELECT subject FROM atlas_statements WHERE predicate = 'vx:about')")(lambda a: a.labels.join(a.statements.filter("predicate = 'vx:about'").select(F.col("subject").alias("resource")), "resource", "left_semi").select("id"))
-B.add("sc7_manifest_faults")(lambda a: (lambda t: a.spark.createDataFrame([(x,) for x in store.verify(a.spark, t, store.manifest(a.spark, t))], "fault string"))({n: f"{a.path}/atlas_{n}.parquet" for n in ("resources", "labels")}))
 B.add("sc8_text_table", "SELECT id, record_status, to_json(notations) AS notations FROM atlas_resources")(lambda a: a.spark.read.parquet(_written(a, "sc8", lambda p: store.write_text_table(a.resources.select("id", "record_status", "notations"), p))))
 B.add("sk1_typed_table", "SELECT id, release, scheme, semantic_ring, resource_profile, source_record, definition, record_status FROM atlas_resources")(
     lambda a: a.spark.read.parquet(_written(a, "sk1", lambda p: store.write_records(a.resources, "resources", p))).select("id", "release", "scheme", "semantic_ring", "resource_profile", "source_record", "definition", "record_status")
@@ -261,7 +259,6 @@ B.add("sc11_csv", "SELECT keyword_version, revision, CAST(root_count AS VARCHAR)
 B.add("sc11_xml", "SELECT n_nationkey, n_name FROM nation")(lambda a: formats.read_xml(a.spark, _written(a, "scx", lambda p: a.table("nation").select("n_nationkey", "n_name").coalesce(1).write.mode("overwrite").format("xml").option("rowTag", "nation").save(p)), "nation", "n_nationkey int, n_name string"))
 B.add("sc13_claim_release")(lambda a: K.release_digests(K.to_claims(a.resources, a.labels).withColumn("release_id", F.lit("one")), "release_id"))
 B.add("sc14_identity_links", "SELECT m.id, s AS old FROM mapping_assertions m, unnest(m.supersedes) AS t(s)")(lambda a: a.table("mapping_assertions").select("id", F.explode("supersedes").alias("old")))
-B.add("pf12_conform", "SELECT id, applies FROM (SELECT id, CAST(NULL AS VARCHAR) AS applies FROM atlas_releases)")(lambda a: conform(a.releases, "lifecycle_events").select("id", F.col("applies_to").alias("applies")))
 B.add("pf13_retired", "SELECT id FROM atlas_resources WHERE NOT coalesce(lower(trim(record_status)) IN ('deprecated', 'superseded', 'withdrawn', 'removed', 'tombstone'), false)")(lambda a: a.resources.filter(~F.coalesce(F.lower(F.trim("record_status")).isin("deprecated", "superseded", "withdrawn", "removed", "tombstone"), F.lit(False))).select("id"))
 B.add("pf15_ring_filter", "SELECT id FROM atlas_statements WHERE coalesce(semantic_ring, source_ring) = 'subject'")(lambda a: a.statements.filter(F.coalesce("semantic_ring", "source_ring") == "subject").select("id"))
 B.add("jn21_first_identifier", "SELECT id, list_sort(notations)[1] AS first FROM atlas_resources WHERE len(notations) > 0")(lambda a: a.resources.filter(F.size("notations") > 0).select("id", F.get(F.array_sort("notations"), F.lit(0)).alias("first")))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from lexmesh import rules
+from lexmesh.functions import scorers as S
 from lexmesh.functions import text as X
 from lexmesh.operators import candidates as C
 from lexmesh.operators import graph as G
@@ -44,12 +45,14 @@ B.add("cg14_fuzzy_ranks", f"WITH {_PAIR}, s AS (SELECT a, b, round(jaro_winkler_
 _EVERY = 8
 
 
-def _fuzzy_ranks(a: Atlas):
+def _fuzzy_ranks(a: Atlas, common: bool = False):
     """(scorer, source, target, source_rank, target_rank): a stated query set of either side against the whole other side, the best three by each scorer."""
     s, t = (materialize(d.select("member", X.fold_plain("pref").alias("label"))) for d in _sides(a))
     asked = lambda d: d.filter(F.conv(F.substring(F.md5("member"), 1, 4), 16, 10).cast("int") % _EVERY == 0)
     tokens = lambda c: X.word_tokens(F.col(c))
     scorers = {"jaro_winkler": X.jaro_winkler("x", "y"), "edit_ratio": X.edit_ratio(F.col("x"), F.col("y")), "token_sort": X.edit_ratio(X.sorted_token_text(tokens("x")), X.sorted_token_text(tokens("y"))), "token_set": X.token_set_ratio(tokens("x"), tokens("y"))}
+    if common:
+        scorers = {n: S.scored(n, F.col("x"), F.col("y")) for n in S.SCORERS}
 
     def ranked(left, right, by, other, name):
         pairs = left.select(F.col("member").alias("source"), F.col("label").alias("x")).crossJoin(right.select(F.col("member").alias("target"), F.col("label").alias("y")))
@@ -61,6 +64,8 @@ def _fuzzy_ranks(a: Atlas):
 
 
 B.add("cg14_fuzzy_ranks_both_sides")(_fuzzy_ranks)
+B.add("cg14_common_scorers_both_sides")(lambda a: _fuzzy_ranks(a, common=True))
+B.add("sf17_common_scorers")(lambda a: _true_pairs(a).select("a", "b", *[F.round(S.scored(n, F.col("a"), F.col("b")), 6).alias(n) for n in S.SCORERS]))
 B.add("cg17_class_costs", f"SELECT generation_class, count(*) AS n FROM ({MATCHING['cg7_candidate_classes']}) GROUP BY 1")(lambda a: _classes(a).groupBy("generation_class").agg(F.count(F.lit(1)).alias("n")))
 B.add("cg17_class_costs_unmasked")(lambda a: _classes(a, "_unmasked").groupBy("generation_class").agg(F.count(F.lit(1)).alias("n")))
 
@@ -85,7 +90,6 @@ def _controls(a: Atlas):
 
 
 B.add("cg8_random_controls")(_controls)
-B.add("cg9_side_guard")(lambda a: (C.check_sides(*_sides(a)), a.spark.createDataFrame([("sides are disjoint and not empty",)], "state string"))[1])
 B.add("cg11_order_free_digest", f"SELECT generation_class, count(*) AS n, {digest_sql("source || '>' || target")} AS digest FROM (" + MATCHING["cg7_candidate_classes"] + ") GROUP BY 1")(
     lambda a: _digests(_classes(a))
 )
@@ -207,7 +211,6 @@ def _refused(a: Atlas):
 
 
 B.add("pf9_argument_guard", "SELECT * FROM (VALUES ('limit 0', true), ('limit 501', true), ('limit true', true), ('offset -1', true), ('status x', true), ('plain', false)) t(arguments, refused)")(_refused)
-B.add("sc2_optional_tables", "SELECT 'none' AS state")(lambda a: a.spark.createDataFrame([("none" if store.optional_pair(a.spark, f"{a.path}/no_such.parquet", f"{a.path}/nor_this.parquet") is None else "both",)], "state string"))
 B.add("sk3_derived_table", "SELECT id, source_concept AS subject, target_concept AS object FROM mapping_assertions")(lambda a: _derived(a))
 
 

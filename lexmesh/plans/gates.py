@@ -8,9 +8,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lexmesh.operators import candidates as C
 from lexmesh.operators import gates as G
 from lexmesh.plans.base import Atlas, Book
-from lexmesh.sources import formats
+from lexmesh.sources import formats, store
 from lexmesh.storage import scratch_dir
 
 B = Book()
@@ -224,7 +225,7 @@ B.add(
     lambda a: a.resources.select("release", "id").distinct().join(a.labels.select(F.col("resource").alias("id")).distinct().withColumn("_l", F.lit(1)), "id", "left").groupBy("release").agg(F.count(F.lit(1)).alias("members"), F.count("_l").alias("expressed"))
 )
 B.add(
-    "sc14_identity_links",
+    "sc14_member_identifiers",
     "SELECT DISTINCT r.id AS member, n AS identifier FROM (SELECT id, unnest(notations) AS n FROM atlas_resources) r WHERE n IS NOT NULL UNION SELECT id, NULL FROM atlas_resources WHERE notations IS NULL OR len(notations) = 0",
 )(lambda a: a.resources.select(F.col("id").alias("member"), F.explode_outer("notations").alias("identifier"), F.size(F.coalesce("notations", F.array().cast("array<string>"))).alias("_n")).filter("identifier IS NOT NULL OR _n <= 0").select("member", "identifier").distinct())
 B.add("sc14_expressions", "SELECT DISTINCT resource AS member, label_role, value, language FROM atlas_labels WHERE lower(language) = 'en' OR lower(language) LIKE 'en-%' OR lower(language) LIKE 'en\\_%' ESCAPE '\\'")(
@@ -250,6 +251,97 @@ B.add(
     lambda a: a.table("mapping_assertions").filter("lifecycle_status = 'current'").groupBy("source_release", "target_release").agg(F.count_distinct("id").alias("mappings"), F.count_distinct(F.trim("source_concept")).alias("sources"), F.count_distinct(F.trim("target_concept")).alias("targets"))
 )
 
+# ---- guards, run on good and on damaged input ------------------------------------------------
+_EMPTY, _BOTH = "(SELECT count(*) FROM s) = 0 OR (SELECT count(*) FROM t) = 0", "(SELECT count(*) FROM s JOIN t USING (member)) > 0"
+_MEMBERS = "s AS (SELECT DISTINCT id AS member FROM atlas_resources WHERE scheme = 'urn:vx:scheme:brineworks'), t AS (SELECT DISTINCT id AS member FROM atlas_resources WHERE scheme = 'urn:vx:scheme:lodestar')"
+B.add("cg9_side_guard", f"WITH {_MEMBERS} SELECT 'as given' AS sides, ({_EMPTY}) OR ({_BOTH}) AS refused UNION ALL SELECT 'one empty', true UNION ALL SELECT 'both the same', true")(lambda a: _guarded(a))
+
+
+def _refuses(run) -> bool:
+    try:
+        run()
+    except ValueError:
+        return True
+    return False
+
+
+def _guarded(a: Atlas):
+    s, t = (a.resources.filter(F.col("scheme") == f"urn:vx:scheme:{x}").select(F.col("id").alias("member")).distinct() for x in ("brineworks", "lodestar"))
+    cases = [("as given", s, t), ("one empty", s, t.filter("false")), ("both the same", s, s)]
+    return a.spark.createDataFrame([(name, _refuses(lambda x=x, y=y: C.check_sides(x, y))) for name, x, y in cases], "sides string, refused boolean")
+
+
+def _scratch(a: Atlas) -> str:
+    return f"{scratch_dir(a.spark)}/gates-{uuid.uuid4().hex}"
+
+
+B.add("sc2_optional_tables", "SELECT unnest(['none', 'both', 'refused']) AS state, unnest([0, (SELECT count(*) FROM region), 0]) AS rows")(lambda a: _optional(a))
+
+
+def _optional(a: Atlas):
+    """A pair of optional tables that is absent, there, and there by half."""
+    at = _scratch(a)
+    a.table("region").write.parquet(f"{at}/one")
+    a.table("nation").write.parquet(f"{at}/two")
+    none = store.optional_pair(a.spark, f"{at}/no", f"{at}/nor")
+    both = store.optional_pair(a.spark, f"{at}/one", f"{at}/two")
+    half = _refuses(lambda: store.optional_pair(a.spark, f"{at}/one", f"{at}/nor"))
+    return a.spark.createDataFrame([("none" if none is None else "some", 0), ("both" if both else "none", both[0].count() if both else 0), ("refused" if half else "taken", 0)], "state string, rows long")
+
+
+B.add("sc7_manifest_faults", "SELECT unnest(['good: none', 'damaged: missing member region', 'damaged: nation: bytes differs', 'damaged: nation: digest differs', 'damaged: nation: rows differs', 'damaged: unexpected member part']) AS fault")(lambda a: _manifest_faults(a))
+
+
+def _manifest_faults(a: Atlas):
+    """Members against a manifest pinned before: as they were, and after one lost rows, one vanished and one came."""
+    at = _scratch(a)
+    good = {n: f"{at}/{n}" for n in ("region", "nation")}
+    for n, path in good.items():
+        a.table(n).coalesce(1).write.parquet(path)
+    pinned = store.manifest(a.spark, good)
+    a.table("nation").filter("n_nationkey > 0").coalesce(1).write.parquet(f"{at}/less")
+    a.table("part").limit(1).write.parquet(f"{at}/part")
+    damaged = {"nation": f"{at}/less", "part": f"{at}/part"}
+    rows = [f"good: {x}" for x in store.verify(a.spark, good, pinned) or ["none"]] + [f"damaged: {x}" for x in store.verify(a.spark, damaged, pinned)]
+    return a.spark.createDataFrame([(x,) for x in rows], "fault string")
+
+
+B.add("pf12_lossless_rows", "SELECT id, release_type, identifier, issued, source_locator, resource_profile, semantic_ring, scheme, membership_mode FROM atlas_releases")(lambda a: _round_trip(a))
+
+
+def _round_trip(a: Atlas):
+    """Releases as records that lack their absent fields, projected to rows again: absent fields come back as nulls."""
+    cols = ["id", "release_type", "identifier", "issued", "source_locator", "resource_profile", "semantic_ring", "scheme", "membership_mode"]
+    records = a.releases.select(F.to_json(F.struct(*cols)).alias("record"))  # nulls are left out of the text
+    return records.select(F.from_json("record", ", ".join(f"{c} string" for c in cols)).alias("r")).select("r.*")
+
+
+B.add(
+    "jn21_equal_first_identifiers",
+    "WITH f AS (SELECT id, min(scheme) AS scheme, min(list_sort(notations)[1]) AS first FROM atlas_resources WHERE len(notations) > 0 GROUP BY 1) SELECT x.id AS source, y.id AS target, x.first AS identifier FROM f x JOIN f y ON x.first = y.first AND x.scheme < y.scheme",
+)(lambda a: _equal_firsts(a))
+
+
+def _equal_firsts(a: Atlas):
+    f = a.resources.filter(F.size("notations") > 0).groupBy("id").agg(F.min("scheme").alias("scheme"), F.min(F.get(F.array_sort("notations"), F.lit(0))).alias("identifier"))
+    other = f.select(F.col("id").alias("target"), F.col("scheme").alias("_s"), "identifier")
+    return f.join(other, "identifier").filter("scheme < _s").select(F.col("id").alias("source"), "target", "identifier")
+
+
+B.add(
+    "jn28_unbound_lineage",
+    "SELECT DISTINCT id, CASE WHEN source_release NOT IN (SELECT id FROM atlas_releases) THEN 'no catalogue' ELSE 'no expression' END AS fault FROM mapping_assertions WHERE source_release NOT IN (SELECT id FROM atlas_releases) OR trim(source_concept) NOT IN (SELECT resource FROM atlas_labels)",
+)(lambda a: _unbound(a))
+
+
+def _unbound(a: Atlas):
+    """Assertions whose source release is unknown or whose source concept has no label."""
+    m = a.table("mapping_assertions").select("id", "source_release", F.trim("source_concept").alias("resource")).distinct()
+    no_release = m.join(a.releases.select(F.col("id").alias("source_release")).distinct(), "source_release", "left_anti").select("id", F.lit("no catalogue").alias("fault"))
+    held = m.join(a.releases.select(F.col("id").alias("source_release")).distinct(), "source_release", "left_semi")
+    return no_release.unionByName(held.join(a.labels.select("resource").distinct(), "resource", "left_anti").select("id", F.lit("no expression").alias("fault"))).distinct()
+
+
 # ---- reference edges of XML ------------------------------------------------------------------
 B.add("in14_reference_edges", "SELECT DISTINCT source_record AS anchor, 'record/part' AS context, id AS href FROM atlas_resources")(lambda a: _xml_edges(a))
 

@@ -96,13 +96,13 @@ def catalog_pages(documents: DataFrame, size: int) -> DataFrame:
 
     Entries are sorted by label, id; a page tells its first and last label.
     """
-    from pyspark.sql import Window
-
     from lexmesh.functions.text import search_key, word_tokens
+    from lexmesh.operators.ranks import with_rank
 
-    words = documents.select("id", "label", F.explode(F.array_distinct(F.transform(word_tokens(F.lower("label")), search_key))).alias("key"))
-    n = F.row_number().over(Window.partitionBy("key").orderBy(F.lower("label"), "label", "id")) - 1
-    paged = words.withColumn("page", F.floor(n / size).cast("int"))
+    words = documents.select("id", "label", F.lower("label").alias("_low"), F.explode(F.array_distinct(F.transform(word_tokens(F.lower("label")), search_key))).alias("key"))
+    ranked = with_rank(words, ["key", "_low", "label", "id"], "_n")
+    first = ranked.groupBy("key").agg(F.min("_n").alias("_first"))  # a row per two-character key
+    paged = ranked.join(F.broadcast(first), "key").withColumn("page", F.floor((F.col("_n") - F.col("_first")) / size).cast("int"))
     order = F.struct(F.lower("label"), "label", "id")
     return paged.groupBy("key", "page").agg(F.count(F.lit(1)).alias("entries"), F.min_by("label", order).alias("first"), F.max_by("label", order).alias("last"))
 
