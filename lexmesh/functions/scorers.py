@@ -59,7 +59,7 @@ def token_set_ratio(a: str, b: str, score: Callable[[str, str], float] = ratio)
     if both and (not left or not right):
         return 100.0
     base, one, other = " ".join(both), " ".join([*both, *left]), " ".join([*both, *right])
-    return max(score(one, other), *([score(base, one), score(base, other)] if both else []))
+    return max([score(one, other), *([score(base, one), score(base, other)] if both else [])])
 
 
 def quick_ratio(a: str, b: str) -> float:
