@@ -70,3 +70,19 @@ def test_weights_never_fall_with_agreement():
     assert all(a <= b + 1e-9 for a, b in zip(odds["said"][1:], odds["said"][2:], strict=False)) and -2 < prior < 0
     assert M.learn_weights({(1, 1, 1, 1, 1): 3.0})[0] == M.PRIOR
     assert M.learn_weights({})[0] == M.PRIOR
+
+
+def test_records_without_number_meet_all_of_their_word(spark):
+    # forty records of a word, ordered by year: the one without year stands far from the one of its name
+    many = [(f"{i:02d}", "A", ["vodi"], [f"{1900 + i}"], [f"{i:02d}x"], [], []) for i in range(40)]
+    records = spark.createDataFrame([*many, ("99", "B", ["vodi"], [], ["39x"], [], [])], M._RECORD)
+    got = rows(M.score_pairs(M.sort_rows(records), records, {}, {}, 41, least=0.0).select("id_1", "id_2"))
+    assert got == [(f"{i:02d}", "99") for i in range(40)]
+
+
+def test_near_words_are_those_of_few_edits():
+    rng = np.random.default_rng(3)
+    for _ in range(3000):
+        x, y = ("".join(rng.choice(list("ab"), rng.integers(4, 12))) for _ in range(2))
+        assert M._near_words(x, y, 1) == (M.edits(x, y, 1) <= 1)
+        assert not M._near_words(x, y, 2) or M.edits(x, y, 2) <= 2
